@@ -164,7 +164,7 @@ def resample_days(df: DataFrame, moment: str, columns: Sequence[str], within: Se
     return filled.select(
         *within, F.col("__day").cast("string").alias("day"),
         *[F.col(f"{c}_mean") for c in columns],
-        *[F.coalesce(f"{c}_sum", F.lit(0.0)).alias(f"{c}_sum") for c in columns],
+        *[F.coalesce(f"{c}_sum", F.lit(0)).alias(f"{c}_sum") for c in columns],
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
