@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 
 from featurekit.functions.text import as_text, joined_text
 from featurekit.operators.groups import known_keys
-from featurekit.operators.lookup import Size, attach, size_columns
+from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns
 from featurekit.operators.ordering import dense_codes
-from featurekit.session import materialize
+from featurekit.session import materialize_by
 
 
 def _plain_text(column: str, data_type: T.DataType) -> Column:
@@ -51,14 +51,15 @@ def count_encode(
     counts = value_table(df, columns, within)
     if not nulls:
         counts = counts.where(F.col("value").isNotNull())
-    counts = materialize(counts)
+    counts = materialize_by(counts.withColumnRenamed("n", WEIGHT), "column")
     sizes = {
-        r["column"]: Size(r["rows"], r["bytes"], r["null_keys"])
+        r["column"]: Size(r["rows"], r["bytes"], r["null_keys"], r["weight"])
         for r in counts.groupBy("column").agg(*size_columns(counts, [*within, "value"])).collect()
     }
     for column in columns:
         dictionary = counts.where(F.col("column") == column).select(
-            *within, F.col("value").cast(df.schema[column].dataType).alias(column), F.col("n").alias(f"{column}{suffix}")
+            *within, F.col("value").cast(df.schema[column].dataType).alias(column),
+            F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
         )
         df = attach(df, dictionary, [*within, column], size=sizes.get(column, Size(0, 0, 0)))
     return df

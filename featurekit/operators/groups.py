@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.operators.lookup import attach
+from featurekit.operators.lookup import WEIGHT, attach
 from featurekit.session import materialize
 
 FUNCTIONS = {
@@ -62,7 +62,7 @@ def group_ratios(
     for key in keys:
         group = [*within, key]
         stats = known_keys(df, [key]).groupBy(*group).agg(
-            *[FUNCTIONS[f](v).alias(f"__{v}_{f}") for v in values for f in functions]
+            *[FUNCTIONS[f](v).alias(f"__{v}_{f}") for v in values for f in functions], F.count(F.lit(1)).alias(WEIGHT)
         )
         df = attach(df, stats, group)
         df = df.withColumns(
@@ -73,7 +73,7 @@ def group_ratios(
 
 def group_row_counts(df: DataFrame, group: Sequence[str], name: str) -> DataFrame:
     """Add the number of rows that share the group; nulls form a group of their own."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias(name))
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias(name)).withColumn(WEIGHT, F.col(name))
     return attach(df, counts, list(group))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurekit.operators.groups import FUNCTIONS, group_stats, known_keys
-from featurekit.operators.lookup import attach
+from featurekit.operators.lookup import WEIGHT, attach
+from featurekit.operators.ordering import ordinals
 from featurekit.session import materialize
 
 
@@ -34,7 +35,7 @@ def key_lags(
     # A key has at most one row per period here, and a frame of one offset picks the row of that period.
     along = Window.partitionBy(key).orderBy(period)
     lagged = measured.select(
-        key, period, *[F.sum("__value").over(along.rangeBetween(-n, -n)).alias(c) for n, c in zip(lags, names)]
+        key, period, F.col("__n").alias(WEIGHT), *[F.sum("__value").over(along.rangeBetween(-n, -n)).alias(c) for n, c in zip(lags, names)]
     )
     reached = (
         counts.select(period).distinct()
@@ -45,7 +46,7 @@ def key_lags(
     )
     marked = attach(lagged, reached, period)
     filled = marked.select(
-        key, period, *[F.when(F.col(f"__has{n}"), F.coalesce(F.col(c), zero)).alias(c) for n, c in zip(lags, names)]
+        key, period, WEIGHT, *[F.when(F.col(f"__has{n}"), F.coalesce(F.col(c), zero)).alias(c) for n, c in zip(lags, names)]
     )
     return attach(df, filled, [key, period])
 
@@ -65,20 +66,23 @@ def period_lags(
     ``extra`` moves every lag but 0 that many periods further down.
     """
     source = df if fit is None else df.where(fit)
-    # One row per period: the unpartitioned window below only ever sees the list of periods.
-    stats = materialize(group_stats(source, period, columns, functions))
+    stats = group_stats(source, period, columns, functions)
     names = [c for c in stats.columns if c != period]
-    along = Window.orderBy(period)
-    here = stats.select(period, *[F.col(c).alias(f"{c}__lag0") for c in names if 0 in lags])
+    numbered = ordinals(stats, [period], name="__row")
     later = [n for n in lags if n > 0]
-    shifted = stats.select(
-        (F.col(period) + extra).cast(stats.schema[period].dataType).alias(period),
-        *[F.lag(c, n).over(along).alias(f"{c}__lag{n}") for n in later for c in names],
+
+    # Every row of the list is sent to the places further down that look back at it.
+    moved = numbered.select(F.explode(F.array(*[F.lit(n) for n in later])).alias("__lag"), "__row", *names)
+    shifted = moved.groupBy((F.col("__row") + F.col("__lag")).alias("__row")).agg(
+        *[F.max(F.when(F.col("__lag") == n, F.col(c))).alias(f"{c}__lag{n}") for n in later for c in names]
     )
-    if extra:
-        df = attach(df, here, period) if 0 in lags else df
-        return attach(df, shifted, period)
-    return attach(df, here.join(shifted, period), period)
+    here = numbered.select(period, "__row", *[F.col(c).alias(f"{c}__lag0") for c in names if 0 in lags])
+    if not extra:
+        return attach(df, here.join(shifted, "__row", "left").drop("__row"), period)
+    later_period = (F.col(period) + extra).cast(df.schema[period].dataType).alias(period)
+    later_stats = numbered.select("__row", later_period).join(shifted, "__row", "left").drop("__row")
+    df = attach(df, here.drop("__row"), period) if 0 in lags else df
+    return attach(df, later_stats, period)
 
 
 def target_lags(

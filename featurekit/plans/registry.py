@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurekit.operators.lookup import lookup_join, with_row_id
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -42,7 +44,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``cents`` and ``balance`` are whole numbers, so their sums and means are exact in any order of addition.
     """
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = orders.join(customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey", "left")
+    joined = with_row_id(lookup_join(orders, customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"), "o_orderkey")
     moment = F.col("o_orderdate")
     return joined.select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus",
