@@ -25,14 +25,14 @@ def _plain_text(column: str, data_type: T.DataType) -> Column:
 
 def value_table(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Rows per (column, value) for many columns from one shuffle; values are text and null is a value."""
-    cells = F.array(*[
-        F.struct(F.lit(c).alias("column"), _plain_text(c, df.schema[c].dataType).alias("value")) for c in columns
-    ])
-    return (
-        df.select(*within, F.explode(cells).alias("cell"))
-        .groupBy(*within, F.col("cell.column").alias("column"), F.col("cell.value").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    cells = F.array(*[_plain_text(c, df.schema[c].dataType) for c in columns])
+    # Cells are grouped by the number of their column, which is cheaper to shuffle than its name.
+    counted = (
+        df.select(*within, F.posexplode(cells).alias("__at", "value"))
+        .groupBy(*within, "__at", "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("__at") + 1)
+    return counted.select(*within, name.alias("column"), "value", "n")
 
 
 def count_encode(
@@ -70,8 +70,8 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code", m
     for column in columns:
         text = F.col(column) if missing is None else _filled_text(df, column, missing)
         df = df.withColumn("__text", text)
-        codes = dense_codes(known_keys(df, ["__text"]), "__text", f"{column}{suffix}")
-        df = attach(df, codes, "__text").drop("__text")
+        codes, size = dense_codes(known_keys(df, ["__text"]), "__text", f"{column}{suffix}")
+        df = attach(df, codes, "__text", size=size).drop("__text")
     return df
 
 
@@ -83,8 +83,8 @@ def pair_codes(df: DataFrame, pairs: Sequence[tuple[str, str]], prefix: str = ""
     """Add ``{prefix}{a}__{b}``: the code of the joined texts of two columns."""
     for a, b in pairs:
         df = df.withColumn("__text", joined_text(df.schema, [a, b]))
-        codes = dense_codes(df, "__text", f"{prefix}{a}__{b}")
-        df = attach(df, codes, "__text").drop("__text")
+        codes, size = dense_codes(df, "__text", f"{prefix}{a}__{b}")
+        df = attach(df, codes, "__text", size=size).drop("__text")
     return df
 
 

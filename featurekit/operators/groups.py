@@ -136,8 +136,7 @@ def value_counts(df: DataFrame, column: str, top: int | None = None, nulls: bool
     source = df if nulls else known_keys(df, [column])
     counts = source.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if share:
-        counts = materialize(counts)
-        total = counts.agg(F.sum("n")).first()[0] or 1
+        total = max(source.count(), 1)
         counts = counts.withColumn("share", F.col("n") / F.lit(total))
     counts = counts.orderBy(F.desc("n"), F.asc(column))
     return counts.limit(top) if top else counts

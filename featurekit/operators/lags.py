@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurekit.operators.groups import FUNCTIONS, group_stats, known_keys
-from featurekit.operators.lookup import WEIGHT, attach
+from featurekit.operators.lookup import WEIGHT, attach, store
 from featurekit.operators.ordering import ordinals
-from featurekit.session import materialize
 
 
 def key_lags(
@@ -23,10 +22,11 @@ def key_lags(
     """
     prefix = prefix or f"{key}_counts"
     names = [f"{prefix}__lag{n}" for n in lags]
-    counts = materialize(known_keys(df, [key, period]).groupBy(key, period).agg(F.count(F.lit(1)).alias("__n")))
+    rows = known_keys(df, [key, period])
+    counts = rows.groupBy(key, period).agg(F.count(F.lit(1)).alias("__n"))
+    periods, size = store(rows.groupBy(period).agg(F.count(F.lit(1)).alias("__total")), [period])
     if share:
-        totals = counts.groupBy(period).agg(F.sum("__n").alias("__total"))
-        measured = attach(counts, totals, period).withColumn("__value", F.col("__n") / F.col("__total"))
+        measured = attach(counts, periods, period, size=size).withColumn("__value", F.col("__n") / F.col("__total"))
         zero = F.lit(0.0)
     else:
         measured = counts.withColumn("__value", F.col("__n"))
@@ -38,9 +38,8 @@ def key_lags(
         key, period, F.col("__n").alias(WEIGHT), *[F.sum("__value").over(along.rangeBetween(-n, -n)).alias(c) for n, c in zip(lags, names)]
     )
     reached = (
-        counts.select(period).distinct()
-        .select(F.explode(F.array(*[F.lit(n) for n in lags])).alias("__lag"), period)
-        .select("__lag", (F.col(period) + F.col("__lag")).cast(counts.schema[period].dataType).alias(period))
+        periods.select(F.explode(F.array(*[F.lit(n) for n in lags])).alias("__lag"), period)
+        .select("__lag", (F.col(period) + F.col("__lag")).cast(df.schema[period].dataType).alias(period))
         .groupBy(period)
         .agg(*[F.max(F.col("__lag") == n).alias(f"__has{n}") for n in lags])
     )

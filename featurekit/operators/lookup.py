@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,14 @@ def measure(df: DataFrame, on: Sequence[str]) -> Size:
     return Size(row["rows"], row["bytes"], row["null_keys"], row["weight"])
 
 
+def store(df: DataFrame, on: Sequence[str]) -> tuple[DataFrame, Size]:
+    """Compute a dictionary once and measure it in the same job."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, *size_columns(df, on)))
+    found = seen.get
+    return stored, Size(found["rows"], found["bytes"], found["null_keys"], found["weight"])
+
+
 def attach(
     df: DataFrame,
     dictionary: DataFrame,
@@ -112,8 +120,7 @@ def attach(
     """
     on = [on] if isinstance(on, str) else list(on)
     if size is None:
-        dictionary = materialize(dictionary)
-        size = measure(dictionary, on)
+        dictionary, size = store(dictionary, on)
     if size.fits(limit or LIMIT):
         return _join(df, F.broadcast(dictionary.drop(WEIGHT)), on, size.null_keys > 0)
     return _attach_large(df, dictionary, on, size, hot_share or HOT_SHARE)

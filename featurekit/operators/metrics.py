@@ -24,7 +24,9 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     ranked = running_sums(counts, [score], ["neg"], by)
     # A positive beats every negative with a lower score and half of those with the same score.
     won = F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") + F.col("neg") * F.lit(0.5).cast("double"))
-    totals = ranked.groupBy(*by).agg(F.sum(won).alias("won"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    totals = ranked.groupBy(*by).agg(
+        F.sum(won).alias("won"), F.sum("pos").alias("n_pos"), F.first("total_neg").alias("n_neg")
+    )
     pairs = F.col("n_pos").cast("double") * F.col("n_neg")
     return totals.select(*by, "n_pos", "n_neg", F.try_divide(F.col("won"), pairs).alias("auc"))
 
@@ -51,21 +53,19 @@ def ks_two_sample(df: DataFrame, columns: Sequence[str], second: Column) -> Data
     ``second`` tells which rows form the second sample. Nulls are left out. The p-value is the asymptotic one.
     All columns share one pass over distinct (column, value) counts.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    cells = F.array(*[F.col(c).cast("double") for c in columns])
     counts = (
-        df.select(second.alias("__second"), F.explode(cells).alias("cell"))
-        .where(F.col("cell.value").isNotNull() & ~F.isnan("cell.value") & F.col("__second").isNotNull())
-        .groupBy(F.col("cell.column").alias("column"), F.col("cell.value").alias("value"))
+        df.select(second.alias("__second"), F.posexplode(cells).alias("__at", "value"))
+        .where(F.col("value").isNotNull() & ~F.isnan("value") & F.col("__second").isNotNull())
+        .groupBy("__at", "value")
         .agg(F.count_if(~F.col("__second")).alias("first"), F.count_if(F.col("__second")).alias("second"))
     )
-    ranked = running_sums(counts, ["value"], ["first", "second"], ["column"])
-    # The last running sums are the sample sizes.
-    totals = ranked.groupBy("column").agg(F.max("cum_first").alias("n_first"), F.max("cum_second").alias("n_second"))
-    # One row per tested column.
-    joined = ranked.join(F.broadcast(totals), "column")
-    gap = F.abs(F.try_divide("cum_first", "n_first") - F.try_divide("cum_second", "n_second"))
-    result = joined.groupBy("column").agg(
-        F.first("n_first").alias("n_first"), F.first("n_second").alias("n_second"), F.max(gap).alias("statistic")
+    ranked = running_sums(counts, ["value"], ["first", "second"], ["__at"])
+    gap = F.abs(F.try_divide("cum_first", "total_first") - F.try_divide("cum_second", "total_second"))
+    largest = ranked.groupBy("__at").agg(
+        F.first("total_first").alias("n_first"), F.first("total_second").alias("n_second"), F.max(gap).alias("statistic")
     )
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("__at") + 1)
+    result = largest.select(name.alias("column"), "n_first", "n_second", "statistic")
     scale = F.sqrt(F.try_divide(F.col("n_first").cast("double") * F.col("n_second"), F.col("n_first") + F.col("n_second")))
     return result.withColumn("p_value", kolmogorov_tail(scale * F.col("statistic")))

@@ -7,32 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featurekit.operators.lookup import attach
-from featurekit.session import materialize
+from featurekit.operators.lookup import Size, attach, store
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the position inside a partition in the low 33 bits
 
 
-def _ranged(df: DataFrame, by: Sequence[str]) -> DataFrame:
+def _ranged(df: DataFrame, by: Sequence[str]) -> tuple[DataFrame, Size]:
     """Rows split into ordered ranges; ``__part`` numbers the range, ``__pos`` the row inside it.
 
     The result is stored, because range bounds come from a sample and a second run could place rows differently.
     """
     ordered = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__id", F.monotonically_increasing_id())
-    return (
-        materialize(ordered)
-        .withColumn("__part", F.shiftright("__id", _ROW_BITS))
-        .withColumn("__pos", F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-        .drop("__id")
+    stored, size = store(ordered, by)
+    placed = stored.withColumn("__part", F.shiftright("__id", _ROW_BITS)).withColumn(
+        "__pos", F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     )
+    return placed.drop("__id"), size
 
 
-def ordinals(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "ordinal") -> DataFrame:
-    """Add the position (from 0) of every row in the total order ``order``, counted inside ``group``.
-
-    ``order`` must end in a unique column for a repeatable result.
-    """
-    ranged = _ranged(df, [*group, *order])
+def _numbered(df: DataFrame, order: Sequence[str], name: str) -> tuple[DataFrame, Size]:
+    ranged, size = _ranged(df, order)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per range, so this window and the broadcast are bounded by the number of shuffle partitions.
     starts = (
@@ -40,7 +34,15 @@ def ordinals(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
         .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     )
     placed = ranged.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__pos"))
-    placed = placed.drop("__part", "__pos", "__start")
+    return placed.drop("__part", "__pos", "__start"), size
+
+
+def ordinals(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "ordinal") -> DataFrame:
+    """Add the position (from 0) of every row in the total order ``order``, counted inside ``group``.
+
+    ``order`` must end in a unique column for a repeatable result.
+    """
+    placed, _ = _numbered(df, [*group, *order], name)
     if not group:
         return placed
     firsts = placed.groupBy(*group).agg(F.min(name).alias("__first"))
@@ -49,27 +51,30 @@ def ordinals(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
 
 
 def running_sums(
-    df: DataFrame, order: Sequence[str], measures: Sequence[str], group: Sequence[str] = (), prefix: str = "cum_"
+    df: DataFrame, order: Sequence[str], measures: Sequence[str], group: Sequence[str] = ()
 ) -> DataFrame:
-    """Add inclusive running sums of ``measures`` along ``order`` inside ``group``; one row per (group, order)."""
+    """Add ``cum_{measure}``, the inclusive running sum along ``order`` inside ``group``, and ``total_{measure}``.
+
+    There must be one row per (group, order).
+    """
     group = list(group)
-    ranged = _ranged(df, [*group, *order])
+    ranged, _ = _ranged(df, [*group, *order])
     inside = Window.partitionBy(*group, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*group) if group else Window.partitionBy()
-    before = before.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*group) if group else Window.partitionBy()
+    before = everything.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     # At most one row per range plus one per group.
-    totals = ranged.groupBy(*group, "__part").agg(*[F.sum(m).alias(f"__t_{m}") for m in measures])
-    starts = totals.select(
-        *group, "__part", *[F.coalesce(F.sum(f"__t_{m}").over(before), F.lit(0)).alias(f"__s_{m}") for m in measures]
+    parts = ranged.groupBy(*group, "__part").agg(*[F.sum(m).alias(f"__t_{m}") for m in measures])
+    starts = parts.select(
+        *group, "__part",
+        *[F.coalesce(F.sum(f"__t_{m}").over(before), F.lit(0)).alias(f"__s_{m}") for m in measures],
+        *[F.sum(f"__t_{m}").over(everything).alias(f"total_{m}") for m in measures],
     )
     local = ranged.select(*df.columns, "__part", *[F.sum(m).over(inside).alias(f"__l_{m}") for m in measures])
-    if group:
-        joined = attach(local, starts, [*group, "__part"])
-    else:
-        joined = local.join(F.broadcast(starts), "__part")
-    return joined.select(*df.columns, *[(F.col(f"__l_{m}") + F.col(f"__s_{m}")).alias(f"{prefix}{m}") for m in measures])
+    joined = attach(local, starts, [*group, "__part"]) if group else local.join(F.broadcast(starts), "__part")
+    sums = [(F.col(f"__l_{m}") + F.col(f"__s_{m}")).alias(f"cum_{m}") for m in measures]
+    return joined.select(*df.columns, *sums, *[f"total_{m}" for m in measures])
 
 
-def dense_codes(values: DataFrame, column: str, name: str = "code") -> DataFrame:
-    """Distinct values of a column with their position (from 0) in sorted order."""
-    return ordinals(values.select(column).distinct(), [column], name=name)
+def dense_codes(values: DataFrame, column: str, name: str = "code") -> tuple[DataFrame, Size]:
+    """Distinct values of a column with their position (from 0) in sorted order, and the size of that dictionary."""
+    return _numbered(values.select(column).distinct(), [column], name)
