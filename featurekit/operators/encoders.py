@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +10,8 @@ from pyspark.sql import types as T
 
 from featurekit.functions.text import as_text, joined_text
 from featurekit.operators.groups import known_keys
-from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns
-from featurekit.operators.ordering import dense_codes
+from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns, store
+from featurekit.operators.ordering import dense_codes, ordinals
 from featurekit.session import materialize_by
 
 
@@ -51,50 +51,74 @@ def count_encode(
     counts = value_table(df, columns, within)
     if not nulls:
         counts = counts.where(F.col("value").isNotNull())
-    counts = materialize_by(counts.withColumnRenamed("n", WEIGHT), "column")
-    sizes = {
-        r["column"]: Size(r["rows"], r["bytes"], r["null_keys"], r["weight"])
-        for r in counts.groupBy("column").agg(*size_columns(counts, [*within, "value"])).collect()
-    }
+    parts = _by_column(counts.withColumnRenamed("n", WEIGHT), within)
     for column in columns:
-        dictionary = counts.where(F.col("column") == column).select(
+        table, size = parts(column)
+        dictionary = table.select(
             *within, F.col("value").cast(df.schema[column].dataType).alias(column),
             F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
         )
-        df = attach(df, dictionary, [*within, column], size=sizes.get(column, Size(0, 0, 0)))
+        df = attach(df, dictionary, [*within, column], size=size)
     return df
 
 
+def _by_column(table: DataFrame, within: Sequence[str] = ()) -> Callable[[str], tuple[DataFrame, Size]]:
+    """Store a table of many columns' dictionaries; the result gives one column's part and its size."""
+    stored = materialize_by(table, "column")
+    sizes = {
+        r["column"]: Size(r["rows"], r["bytes"], r["null_keys"], r["weight"])
+        for r in stored.groupBy("column").agg(*size_columns(stored, [*within, "value"])).collect()
+    }
+    return lambda column: (stored.where(F.col("column") == column), sizes.get(column, Size(0, 0, 0)))
+
+
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code", missing: str | None = "nan") -> DataFrame:
     """Add codes from 0 in sorted text order over all rows; null reads as ``missing``, or stays null if that is None."""
-    for column in columns:
-        text = F.col(column) if missing is None else _filled_text(df, column, missing)
-        df = df.withColumn("__text", text)
-        codes, size = dense_codes(known_keys(df, ["__text"]), "__text", f"{column}{suffix}")
-        df = attach(df, codes, "__text", size=size).drop("__text")
-    return df
+    def read(column: str) -> Column:
+        return F.col(column) if missing is None else _filled_text(df, column, missing)
 
-
-def _filled_text(df: DataFrame, column: str, missing: str) -> Column:
-    return F.when(F.col(column).isNull(), F.lit(missing)).otherwise(as_text(column, df.schema[column].dataType))
+    return _text_codes(df, {f"{c}{suffix}": read(c) for c in columns})
 
 
 def pair_codes(df: DataFrame, pairs: Sequence[tuple[str, str]], prefix: str = "") -> DataFrame:
     """Add ``{prefix}{a}__{b}``: the code of the joined texts of two columns."""
-    for a, b in pairs:
-        df = df.withColumn("__text", joined_text(df.schema, [a, b]))
-        codes, size = dense_codes(df, "__text", f"{prefix}{a}__{b}")
-        df = attach(df, codes, "__text", size=size).drop("__text")
-    return df
+    return _text_codes(df, {f"{prefix}{a}__{b}": joined_text(df.schema, [a, b]) for a, b in pairs})
+
+
+def _text_codes(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
+    """Add one code column per text; all dictionaries are learnt and put in order in one pass."""
+    if not texts:
+        return df
+    rows = df.withColumns({f"__text_{name}": text for name, text in texts.items()})
+    counted = value_table(rows, [f"__text_{name}" for name in texts]).where(F.col("value").isNotNull())
+    parts = _by_column(ordinals(counted.withColumnRenamed("n", WEIGHT), ["value"], ["column"], "code"))
+    for name in texts:
+        table, size = parts(f"__text_{name}")
+        dictionary = table.select(F.col("value").alias(f"__text_{name}"), F.col("code").alias(name), WEIGHT)
+        rows = attach(rows, dictionary, f"__text_{name}", size=size)
+    return rows.drop(*[f"__text_{name}" for name in texts])
+
+
+def number_values(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the position (from 0) of the value among the sorted distinct values; null stays null."""
+    codes, size = dense_codes(known_keys(df, [column]), column, name)
+    return attach(df, codes, column, size=size)
+
+
+def _filled_text(df: DataFrame, column: str, missing: str) -> Column:
+    return F.when(F.col(column).isNull(), F.lit(missing)).otherwise(as_text(column, df.schema[column].dataType))
 
 
 def target_mean_encode(
     df: DataFrame, columns: Sequence[str], label: str, fit: Column, suffix: str = "__target_mean"
 ) -> DataFrame:
     """Add the label mean of the value among the rows selected by ``fit``; null for values not seen there."""
-    for column in columns:
-        means = known_keys(df.where(fit), [column]).groupBy(column).agg(F.avg(label).alias(f"{column}{suffix}"))
-        df = attach(df, means, column)
+    known = df.where(fit)
+    learnt = [
+        (c, *store(known_keys(known, [c]).groupBy(c).agg(F.avg(label).alias(f"{c}{suffix}")), [c])) for c in columns
+    ]
+    for column, means, size in learnt:
+        df = attach(df, means, column, size=size)
     return df
 
 

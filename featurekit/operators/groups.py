@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.operators.lookup import WEIGHT, attach
+from featurekit.operators.lookup import WEIGHT, attach, store
 from featurekit.session import materialize
 
 FUNCTIONS = {
@@ -59,12 +59,15 @@ def group_ratios(
     df: DataFrame, values: Sequence[str], keys: Sequence[str], within: Sequence[str] = (), functions: Sequence[str] = ("mean", "std")
 ) -> DataFrame:
     """Add ``{value}_to_{function}_{key}`` = value over the group's statistic; null for a null key or a zero statistic."""
+    learnt = []
     for key in keys:
         group = [*within, key]
         stats = known_keys(df, [key]).groupBy(*group).agg(
             *[FUNCTIONS[f](v).alias(f"__{v}_{f}") for v in values for f in functions], F.count(F.lit(1)).alias(WEIGHT)
         )
-        df = attach(df, stats, group)
+        learnt.append((key, group, *store(stats, group)))
+    for key, group, stats, size in learnt:
+        df = attach(df, stats, group, size=size)
         df = df.withColumns(
             {f"{v}_to_{f}_{key}": F.try_divide(F.col(v), F.col(f"__{v}_{f}")) for v in values for f in functions}
         ).drop(*[f"__{v}_{f}" for v in values for f in functions])
