@@ -59,18 +59,18 @@ class FoldModel:
     rounds: int
     fold: int
 
-    def margins(self, df: DataFrame) -> tuple[DataFrame, list[Column]]:
-        """Rows with one weighted tree output per round, as columns."""
-        rows = assemble(df, self.features)
+    def margins(self, rows: DataFrame) -> tuple[DataFrame, list[Column]]:
+        """Rows, which must hold the feature vector, with one weighted tree output per round, as columns."""
         outputs = []
         for i, (tree, weight) in enumerate(zip(self.model.trees[: self.rounds], self.model.treeWeights)):
-            rows = tree.setFeaturesCol("__features").setPredictionCol(f"__t{i}").transform(rows)
-            outputs.append(F.col(f"__t{i}") * F.lit(float(weight)))
+            name = f"__t{self.fold}_{i}"
+            rows = tree.setFeaturesCol("__features").setPredictionCol(name).transform(rows)
+            outputs.append(F.col(name) * F.lit(float(weight)))
         return rows, outputs
 
     def score(self, df: DataFrame, name: str = "score") -> DataFrame:
         """Add the probability of a positive label."""
-        rows, outputs = self.margins(df)
+        rows, outputs = self.margins(assemble(df, self.features))
         return rows.select(*df.columns, _probability(reduce(add, outputs)).alias(name))
 
     def save(self, path: str) -> None:
@@ -91,7 +91,7 @@ def fit(df: DataFrame, features: Sequence[str], label: str, params: Mapping[str,
 
 def auc_by_round(model: FoldModel, df: DataFrame, label: str) -> DataFrame:
     """``round, n_pos, n_neg, auc`` of the growing ensemble on ``df``, from one scoring pass."""
-    rows, outputs = model.margins(df)
+    rows, outputs = model.margins(assemble(df, model.features))
     sums = [reduce(add, outputs[: i + 1]) for i in range(len(outputs))]
     staged = F.posexplode(F.array(*sums)).alias("round", "margin")
     return roc_auc(rows.select(F.col(label).alias("y"), staged), "y", "margin", ["round"])
@@ -140,11 +140,11 @@ def out_of_fold(models: Sequence[FoldModel], df: DataFrame, fold: str = "fold")
 
 def ensemble_mean(models: Sequence[FoldModel], df: DataFrame, name: str = "score") -> DataFrame:
     """Score rows with the mean of all fold models, in one pass and without a shuffle."""
-    rows = df
+    rows, scores = assemble(df, models[0].features), []
     for m in models:
-        rows = m.score(rows, f"__s{m.fold}")
-    mean = reduce(add, [F.col(f"__s{m.fold}") for m in models]) / len(models)
-    return rows.select(*df.columns, mean.alias(name))
+        rows, outputs = m.margins(rows)
+        scores.append(_probability(reduce(add, outputs)))
+    return rows.select(*df.columns, (reduce(add, scores) / len(models)).alias(name))
 
 
 def importances(models: Sequence[FoldModel], df: DataFrame) -> DataFrame:

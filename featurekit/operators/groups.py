@@ -160,7 +160,7 @@ def resample_days(df: DataFrame, moment: str, columns: Sequence[str], within: Se
         *[F.sum(c).alias(f"{c}_sum") for c in columns],
         F.count(F.lit(1)).alias("n"),
     )
-    spans = days.groupBy(*within).agg(F.min("__day").alias("__from"), F.max("__day").alias("__to"))
+    spans = daily.groupBy(*within).agg(F.min("__day").alias("__from"), F.max("__day").alias("__to"))
     calendar = spans.select(*within, F.explode(F.sequence("__from", "__to", F.expr("interval 1 day"))).alias("__day"))
     filled = calendar.join(daily, [*within, "__day"], "left")
     return filled.select(
@@ -175,7 +175,7 @@ def resample_months(df: DataFrame, moment: str, columns: Sequence[str]) -> DataF
     """Monthly means on a gap-free calendar, keyed by ``yyyy-MM``."""
     months = df.withColumn("__month", F.trunc(F.col(moment).cast("date"), "month"))
     monthly = months.groupBy("__month").agg(*[F.avg(c).alias(f"{c}_mean") for c in columns])
-    span = months.agg(F.min("__month").alias("__from"), F.max("__month").alias("__to"))
+    span = monthly.agg(F.min("__month").alias("__from"), F.max("__month").alias("__to"))
     calendar = span.select(F.explode(F.sequence("__from", "__to", F.expr("interval 1 month"))).alias("__month"))
     return calendar.join(monthly, "__month", "left").select(
         F.date_format("__month", "yyyy-MM").alias("month"), *[f"{c}_mean" for c in columns]

@@ -17,7 +17,12 @@ def shuffle_hash(key: str, seed: int) -> Column:
 
 def kfold(df: DataFrame, key: str, k: int, seed: int = 42) -> DataFrame:
     """``key, fold`` with folds 0..k-1 of nearly equal size; needs no shuffle."""
-    return df.select(key, F.pmod(shuffle_hash(key, seed), F.lit(k)).cast("int").alias("fold"))
+    return with_kfold(df.select(key), key, k, seed)
+
+
+def with_kfold(df: DataFrame, key: str, k: int, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Add the fold of :func:`kfold` to the rows themselves, which needs no join."""
+    return df.withColumn(name, F.pmod(shuffle_hash(key, seed), F.lit(k)).cast("int"))
 
 
 def stratified_kfold(df: DataFrame, key: str, label: str, k: int, seed: int = 42) -> DataFrame:
@@ -66,9 +71,8 @@ def period_holdout(df: DataFrame, key: str, period: str, valid_from: int, open_e
 
 def holdout_with_kfold(df: DataFrame, key: str, period: str, valid_from: int, k: int, seed: int = 42) -> DataFrame:
     """``key, role, fold``: a period hold-out whose training part is also split into k folds."""
-    rows = period_holdout(df, key, period, valid_from)
-    fold = F.pmod(shuffle_hash(key, seed), F.lit(k)).cast("int")
-    return rows.withColumn("fold", F.when(F.col("role") == "train", fold))
+    rows = with_kfold(period_holdout(df, key, period, valid_from), key, k, seed)
+    return rows.withColumn("fold", F.when(F.col("role") == "train", F.col("fold")))
 
 
 def stratified_holdout(df: DataFrame, key: str, label: str, share: float = 0.33, seed: int = 42) -> DataFrame:

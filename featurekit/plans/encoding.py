@@ -29,7 +29,7 @@ def count_enc_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {TX} SELECT o_orderkey, {', '.join(f'count(*) OVER (PARTITION BY {c}) AS "{c}_CE"' for c in MANY)} FROM tx""")
 def count_enc_nullfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encoders.count_encode(transactions(spark, sf_dir), MANY, suffix="_CE")
+    encoded = encoders.count_encode(transactions(spark, sf_dir, customer=True), MANY, suffix="_CE")
     return encoded.select("o_orderkey", *[f"{c}_CE" for c in MANY])
 
 
@@ -61,7 +61,7 @@ def rare_value_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS c_mktsegment_code,
     dense_rank() OVER (ORDER BY coalesce(CAST(card AS VARCHAR), 'nan')) - 1 AS card_code FROM tx""")
 def label_encode_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = encoders.label_encode(transactions(spark, sf_dir), ["priority", "c_mktsegment", "card"])
+    encoded = encoders.label_encode(transactions(spark, sf_dir, customer=True), ["priority", "c_mktsegment", "card"])
     return encoded.select("o_orderkey", "priority_code", "c_mktsegment_code", "card_code")
 
 
@@ -70,7 +70,7 @@ def label_encode_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense_rank() OVER (ORDER BY CAST(c_nationkey AS VARCHAR) || '_' || CAST(o_custkey AS VARCHAR)) - 1 AS c_nationkey__o_custkey
   FROM tx""")
 def pair_interaction_code(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, customer=True)
     encoded = encoders.pair_codes(tx, [("card", "priority"), ("c_nationkey", "o_custkey")])
     return encoded.select("o_orderkey", "card__priority", "c_nationkey__o_custkey")
 

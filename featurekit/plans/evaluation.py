@@ -92,4 +92,4 @@ def ks_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 )))
 def ks_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = ["o_totalprice", "c_acctbal", "card", "period"]
-    return _ks(metrics.ks_two_sample(transactions(spark, sf_dir), numbers, F.col("dataset") == "test"))
+    return _ks(metrics.ks_two_sample(transactions(spark, sf_dir, customer=True), numbers, F.col("dataset") == "test"))

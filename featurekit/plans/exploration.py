@@ -24,7 +24,7 @@ def _profile_sql(column: str) -> str:
 
 @query(f"WITH {TX} " + " UNION ALL ".join(_profile_sql(c) for c in PROFILED))
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = profile.column_profile(transactions(spark, sf_dir), PROFILED)
+    result = profile.column_profile(transactions(spark, sf_dir, customer=True), PROFILED)
     return result.withColumns({
         "mean": rounded("mean", 4), "std": rounded("std", 4), **{c: rounded(c) for c in ("nulls_pct", "uniques_pct", "zeros_pct")}
     })
@@ -39,7 +39,7 @@ def _top_sql(column: str) -> str:
 
 @query(f"WITH {TX} " + " UNION ALL ".join(_top_sql(c) for c in ("card", "priority", "c_nationkey", "period")))
 def top_value_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.top_value_report(transactions(spark, sf_dir), ["card", "priority", "c_nationkey", "period"], 10)
+    return profile.top_value_report(transactions(spark, sf_dir, customer=True), ["card", "priority", "c_nationkey", "period"], 10)
 
 
 @query(f"WITH {TX} " + " UNION ALL ".join(

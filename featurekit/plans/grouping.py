@@ -17,7 +17,7 @@ from featurekit.plans.registry import TX, query, rounded, table, transactions
   FROM tx WHERE c_nationkey IS NOT NULL AND priority IS NOT NULL GROUP BY c_nationkey, priority""")
 def auto_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = groups.group_stats(
-        transactions(spark, sf_dir), ["c_nationkey", "priority"], ["cents", "balance"],
+        transactions(spark, sf_dir, customer=True), ["c_nationkey", "priority"], ["cents", "balance"],
         ["min", "mean", "max", "std"], prefix="t_", suffix="_s",
     )
     return stats.select(*[rounded(c, 2) if "_std" in c else F.col(c) for c in stats.columns])
@@ -69,7 +69,7 @@ def crosstab_col_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY c_nationkey, priority)
   SELECT c_nationkey, priority, n, round(n / sum(n) OVER (PARTITION BY c_nationkey)::DOUBLE, 9) AS share FROM c""")
 def crosstab_row_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = groups.crosstab_share(transactions(spark, sf_dir), "c_nationkey", "priority", within="c_nationkey")
+    shares = groups.crosstab_share(transactions(spark, sf_dir, customer=True), "c_nationkey", "priority", within="c_nationkey")
     return shares.withColumn("share", rounded("share", 9))
 
 

@@ -100,7 +100,7 @@ def _target_sql(keys: list[str]) -> str:
 
 def _target_lags(spark: SparkSession, sf_dir: str, include_label: bool) -> DataFrame:
     result = lags.target_lags(
-        transactions(spark, sf_dir), "period", ["c_nationkey", "priority"], "y", TARGET_LAGS,
+        transactions(spark, sf_dir, customer=True), "period", ["c_nationkey", "priority"], "y", TARGET_LAGS,
         fit=F.col("dataset") == "train", include_label=include_label,
     )
     return result.select("o_orderkey", *[rounded(f"y_{s}__lag{n}", 9) for n in TARGET_LAGS for s in ("mean", "std")])

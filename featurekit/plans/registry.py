@@ -38,25 +38,28 @@ def rounded(column: str | Column, digits: int = 6) -> Column:
     return result.alias(name) if name else result
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with customer attributes, a dataset name, a label, a month number and two columns that hold nulls.
+def transactions(spark: SparkSession, sf_dir: str, customer: bool = False) -> DataFrame:
+    """Orders with a dataset name, a label, a month number, two columns that hold nulls and, on demand, customer attributes.
 
     ``cents`` and ``balance`` are whole numbers, so their sums and means are exact in any order of addition.
     """
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    joined = with_row_id(lookup_join(orders, customer.withColumnRenamed("c_custkey", "o_custkey"), "o_custkey"), "o_orderkey")
-    moment = F.col("o_orderdate")
-    return joined.select(
+    orders, moment = table(spark, sf_dir, "orders"), F.col("o_orderdate")
+    orders = with_row_id(orders, "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus",
-        "c_nationkey", "c_acctbal", "c_mktsegment",
         F.when(moment < F.lit("2000-01-01").cast("timestamp_ntz"), "train").otherwise("test").alias("dataset"),
         (F.col("o_orderstatus") == "F").cast("int").alias("y"),
         ((F.year(moment) - 1995) * 12 + F.month(moment)).alias("period"),
         F.when(F.col("o_totalprice") >= 50000, F.col("o_custkey")).alias("card"),
         F.nullif(F.col("o_orderpriority"), F.lit("3-MEDIUM")).alias("priority"),
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"),
+    )
+    if not customer:
+        return orders
+    attributes = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal", "c_mktsegment",
         F.round(F.col("c_acctbal") * 100).cast("bigint").alias("balance"),
     )
+    return lookup_join(orders, attributes, "o_custkey")
 
 
 # The same table in SQL, as the first common table expression of a statement.

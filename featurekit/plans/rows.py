@@ -41,7 +41,7 @@ def amount_to_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM tx LEFT JOIN by_card a ON a.dataset = tx.dataset AND a.card = tx.card
   LEFT JOIN by_segment b ON b.dataset = tx.dataset AND b.c_mktsegment = tx.c_mktsegment""")
 def amount_to_group_std(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = groups.group_ratios(transactions(spark, sf_dir), ["o_totalprice"], ["card"], ["dataset"], ["std"])
+    tx = groups.group_ratios(transactions(spark, sf_dir, customer=True), ["o_totalprice"], ["card"], ["dataset"], ["std"])
     tx = groups.group_ratios(tx, ["o_totalprice", "c_acctbal"], ["c_mktsegment"], ["dataset"], ["std"])
     return tx.select("o_orderkey", *[rounded(c, 4) for c in tx.columns if "_to_std_" in c])
 
@@ -194,7 +194,7 @@ def narrow_types(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM tx WHERE period < 79""")
 def column_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = columns.keep(
-        transactions(spark, sf_dir).where(F.col("period") < 79),
+        transactions(spark, sf_dir, customer=True).where(F.col("period") < 79),
         ["o_orderkey", "dataset", "o_custkey", "o_totalprice", "priority", "card", "c_acctbal"],
     )
     raw = [c for c in tx.columns if c not in ("o_orderkey", "dataset")]

@@ -18,8 +18,8 @@ FOLDS = 2
 
 
 def _folds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir).where(F.col("dataset") == "train")
-    return tx.join(splits.kfold(tx, "o_orderkey", FOLDS), "o_orderkey")
+    train = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "train")
+    return splits.with_kfold(train, "o_orderkey", FOLDS)
 
 
 @query()
@@ -33,7 +33,7 @@ def gbt_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def gbt_cv_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean and deviation of the AUC after every round of a stratified cross-validation."""
-    tx = transactions(spark, sf_dir).where(F.col("dataset") == "train")
+    tx = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "train")
     folds = tx.join(splits.stratified_kfold(tx, "o_orderkey", "y", FOLDS).drop("y"), "o_orderkey")
     _, rounds = boosting.fit_folds(folds, FEATURES, "y", PARAMS, FOLDS)
     return boosting.cv_summary(rounds)
@@ -52,14 +52,14 @@ def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fold_ensemble_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows scored with the mean of all fold models."""
     models, _ = boosting.fit_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
-    test = transactions(spark, sf_dir).where(F.col("dataset") == "test")
+    test = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "test")
     return boosting.ensemble_mean(models, test).select("o_orderkey", "score")
 
 
 @query()
 def holdout_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fold models checked on one fixed later period: AUC of the mean of their scores there."""
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, customer=True)
     roles = tx.join(splits.holdout_with_kfold(tx, "o_orderkey", "period", 60, FOLDS), "o_orderkey")
     train, valid = roles.where(F.col("role") == "train"), roles.where(F.col("role") == "valid")
     models, _ = boosting.fit_folds(train, FEATURES, "y", PARAMS, FOLDS, valid=valid, patience=2)
@@ -70,17 +70,17 @@ def holdout_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def period_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean score and rows per test period; all periods are scored in one pass."""
     models, _ = boosting.fit_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
-    test = transactions(spark, sf_dir).where(F.col("dataset") == "test")
+    test = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "test")
     return groups.group_stats(boosting.ensemble_mean(models, test), "period", "score", ["mean", "count"])
 
 
 @query()
 def feature_vs_count_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = transactions(spark, sf_dir).where(F.col("dataset") == "train")
+    train = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "train")
     return boosting.compare_with_count(train, "o_orderkey", ["o_custkey", "c_nationkey"], "y", PARAMS)
 
 
 @query()
 def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = transactions(spark, sf_dir).where(F.col("dataset") == "train")
+    train = transactions(spark, sf_dir, customer=True).where(F.col("dataset") == "train")
     return boosting.grid_scores(train, "o_custkey", "y", PARAMS)

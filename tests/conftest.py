@@ -18,8 +18,7 @@ TESTDATA = os.environ.get("FEATUREKIT_TESTDATA", "/root/testdata")
 def spark():
     session = build_session(
         "featurekit-tests", "local[*]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-           "spark.driver.bindAddress": "127.0.0.1"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
