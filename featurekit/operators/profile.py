@@ -101,11 +101,11 @@ def quantile_edges(df: DataFrame, column: str, bins: int) -> list[float]:
     ``bins + 1`` edges come back.
     """
     x = F.col(column).cast("double")
-    counts = df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running_sums(counts, ["value"], ["n"])
-    total = ranked.agg(F.max("cum_n")).first()[0] or 0
+    known = df.where(x.isNotNull() & ~F.isnan(x))
+    total = known.count()
     if total == 0:
         return []
+    ranked = running_sums(known.groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n")), ["value"], ["n"])
     positions = [i * (total - 1) / bins for i in range(bins + 1)]
     wanted = sorted({math.floor(p) for p in positions} | {math.ceil(p) for p in positions})
     before = F.col("cum_n") - F.col("n")

@@ -118,14 +118,12 @@ def calendar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-@query("""WITH e AS (SELECT event_type, CAST(ts AS DATE) AS day, avg(value) AS m, sum(value) AS s, count(*) AS n FROM events
-    WHERE value > 40 GROUP BY ALL),
-  span AS (SELECT event_type, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS day FROM e GROUP BY event_type)
-  SELECT span.event_type AS event_type, strftime(span.day, '%Y-%m-%d') AS day, round(m, 8) AS value_mean, round(coalesce(s, 0), 4) AS value_sum,
-    coalesce(n, 0) AS n FROM span LEFT JOIN e ON e.event_type = span.event_type AND e.day = CAST(span.day AS DATE)""")
+@query("""WITH e AS (SELECT user_id, CAST(ts AS DATE) AS day, avg(value) AS m, sum(value) AS s, count(*) AS n FROM events GROUP BY ALL),
+  span AS (SELECT user_id, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY)) AS day FROM e GROUP BY user_id)
+  SELECT span.user_id AS user_id, strftime(span.day, '%Y-%m-%d') AS day, round(m, 8) AS value_mean, round(coalesce(s, 0), 4) AS value_sum,
+    coalesce(n, 0) AS n FROM span LEFT JOIN e ON e.user_id = span.user_id AND e.day = CAST(span.day AS DATE)""")
 def resample_daily_gapfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("value") > 40)
-    daily = groups.resample_days(events, "ts", ["value"], ["event_type"])
+    daily = groups.resample_days(table(spark, sf_dir, "events"), "ts", ["value"], ["user_id"])
     return daily.withColumns({"value_mean": rounded("value_mean", 8), "value_sum": rounded("value_sum", 4)})
 
 

@@ -13,12 +13,12 @@ COUNT_LAGS = [0, 1, 2, 3, 6]
 SHARE_LAGS = [0, 1, 2, 3, 4, 5, 6]
 TARGET_LAGS = [1, 2, 3, 6]
 
-# The period table lacks months 30 and 31, so lags that reach them find no data.
-WITH_GAP = f"WITH {TX}, p AS (SELECT * FROM tx WHERE period NOT IN (30, 31))"
+# Months 30 and 31 are unknown here, so their rows have no period and lags that reach them find no data.
+WITH_GAP = f"""WITH {TX}, p AS (SELECT * REPLACE (CASE WHEN period NOT IN (30, 31) THEN period END AS period) FROM tx)"""
 
 
 def _with_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions(spark, sf_dir).where(~F.col("period").isin(30, 31))
+    return transactions(spark, sf_dir).withColumn("period", F.when(~F.col("period").isin(30, 31), F.col("period")))
 
 
 def _lookup_sql(lags_wanted: list[int], value: str, digits: int | None) -> str:
@@ -31,14 +31,14 @@ def _lookup_sql(lags_wanted: list[int], value: str, digits: int | None) -> str:
     return f"SELECT o_orderkey, dataset, {', '.join(cell(n) for n in lags_wanted)} FROM p {joins}"
 
 
-@query(f"""{WITH_GAP}, cells AS (SELECT card, period, count(*) AS n FROM p WHERE card IS NOT NULL GROUP BY card, period)
+@query(f"""{WITH_GAP}, cells AS (SELECT card, period, count(*) AS n FROM p WHERE card IS NOT NULL AND period IS NOT NULL GROUP BY card, period)
   {_lookup_sql(COUNT_LAGS, 'n', None)}""")
 def key_count_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = lags.key_lags(_with_gap(spark, sf_dir), "card", "period", COUNT_LAGS)
     return result.select("o_orderkey", "dataset", *[f"card_counts__lag{n}" for n in COUNT_LAGS])
 
 
-@query(f"""{WITH_GAP}, counts AS (SELECT card, period, count(*) AS n FROM p WHERE card IS NOT NULL GROUP BY card, period),
+@query(f"""{WITH_GAP}, counts AS (SELECT card, period, count(*) AS n FROM p WHERE card IS NOT NULL AND period IS NOT NULL GROUP BY card, period),
   cells AS (SELECT card, period, n / sum(n) OVER (PARTITION BY period)::DOUBLE AS share FROM counts)
   {_lookup_sql(SHARE_LAGS, 'share', 9)}""")
 def key_share_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def _stat_lags_sql(source: str, extra: int = 0) -> str:
     shifted = ", ".join(f"lag(cents_{s}, {n}) OVER (ORDER BY period) AS cents_{s}__lag{n}" for n in TARGET_LAGS for s in stats)
     names = ", ".join(f"cents_{s}__lag{n}" for n in COUNT_LAGS for s in stats)
     return f"""s AS (SELECT period, min(cents) AS cents_min, avg(cents) AS cents_mean,
-        max(cents) AS cents_max, round(stddev_samp(cents), 2) AS cents_std FROM p WHERE {source} GROUP BY period),
+        max(cents) AS cents_max, round(stddev_samp(cents), 2) AS cents_std FROM p WHERE {source} AND period IS NOT NULL GROUP BY period),
       l AS (SELECT period, {here}, {shifted} FROM s)
       SELECT o_orderkey, {names} FROM p LEFT JOIN l ON p.period = l.period"""
 

@@ -55,7 +55,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize_by(df: DataFrame, column: str) -> DataFrame:
-    """Like :func:`materialize`, as a Parquet table split by ``column``: a filter on it reads only its part."""
+    """Like :func:`materialize`, as a Parquet table split by ``column``: a filter on it reads only its part.
+
+    Rows are brought together by ``column`` first, and large parts are split again, so that files are neither many
+    nor huge.
+    """
     path = scratch_path(df.sparkSession, f"by_{column}")
-    df.write.partitionBy(column).parquet(path)
+    df.hint("rebalance", column).write.partitionBy(column).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -116,3 +116,15 @@ def test_membership(spark):
     listed = spark.createDataFrame([("a",), ("a",), (None,)], "k string")
     assert [r["id"] for r in membership(df, listed, "k").collect()] == [1]
     assert sorted(r["id"] for r in membership(df, listed, "k", negate=True).collect()) == [2, 3]
+
+
+def test_empty_dictionary_and_empty_rows(spark, skewed, tmp_path):
+    path = str(tmp_path / "rows")
+    skewed.write.parquet(path)
+    rows = spark.read.parquet(path)
+    nothing = rows.where("id < 0").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    for limit in (None, NEVER):
+        assert attach(rows, nothing, "key", limit=limit).where("n is null").count() == 3000
+        dictionary = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        assert attach(rows.where("id < 0"), dictionary, "key", limit=limit).count() == 0
+    assert store(nothing, ["key"])[1].rows == 0
