@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,23 +54,34 @@ def count_encode(
         counts = counts.where(F.col("value").isNotNull())
     parts = _by_column(counts.withColumnRenamed("n", WEIGHT), within)
     for column in columns:
-        table, size = parts(column)
-        dictionary = table.select(
+        dictionary = parts.part(column).select(
             *within, F.col("value").cast(df.schema[column].dataType).alias(column),
             F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
         )
-        df = attach(df, dictionary, [*within, column], size=size)
+        df = attach(df, dictionary, [*within, column], size=parts.size(column))
     return df
 
 
-def _by_column(table: DataFrame, within: Sequence[str] = ()) -> Callable[[str], tuple[DataFrame, Size]]:
-    """Store a table of many columns' dictionaries; the result gives one column's part and its size."""
+@dataclass
+class _Parts:
+    """A stored table of many columns' dictionaries with the size of each part and, for codes, its first position."""
+
+    stored: DataFrame
+    rows: dict[str, Row]
+
+    def part(self, column: str) -> DataFrame:
+        return self.stored.where(F.col("column") == column)
+
+    def size(self, column: str) -> Size:
+        row = self.rows.get(column)
+        return Size(row["rows"], row["bytes"], row["null_keys"], row["weight"]) if row else Size(0, 0, 0)
+
+
+def _by_column(table: DataFrame, within: Sequence[str] = ()) -> _Parts:
     stored = materialize_by(table, "column")
-    sizes = {
-        r["column"]: Size(r["rows"], r["bytes"], r["null_keys"], r["weight"])
-        for r in stored.groupBy("column").agg(*size_columns(stored, [*within, "value"])).collect()
-    }
-    return lambda column: (stored.where(F.col("column") == column), sizes.get(column, Size(0, 0, 0)))
+    first = [F.min("position").alias("first")] if "position" in table.columns else []
+    rows = stored.groupBy("column").agg(*size_columns(stored, [*within, "value"]), *first).collect()
+    return _Parts(stored, {r["column"]: r for r in rows})
 
 
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_code", missing: str | None = "nan") -> DataFrame:
@@ -90,12 +102,15 @@ def _text_codes(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
     if not texts:
         return df
     rows = df.withColumns({f"__text_{name}": text for name, text in texts.items()})
-    counted = value_table(rows, [f"__text_{name}" for name in texts]).where(F.col("value").isNotNull())
-    parts = _by_column(ordinals(counted.withColumnRenamed("n", WEIGHT), ["value"], ["column"], "code"))
-    for name in texts:
-        table, size = parts(f"__text_{name}")
-        dictionary = table.select(F.col("value").alias(f"__text_{name}"), F.col("code").alias(name), WEIGHT)
-        rows = attach(rows, dictionary, f"__text_{name}", size=size)
+    names = {f"__text_{name}": name for name in texts}
+    counted = value_table(rows, list(names)).where(F.col("value").isNotNull()).withColumnRenamed("n", WEIGHT)
+    # One order over all columns: a code is the position of the value less that of the column's first value.
+    parts = _by_column(ordinals(counted, ["column", "value"], name="position"))
+    for column, name in names.items():
+        first = parts.rows[column]["first"] if column in parts.rows else 0
+        code = (F.col("position") - F.lit(first)).alias(name)
+        dictionary = parts.part(column).select(F.col("value").alias(column), code, WEIGHT)
+        rows = attach(rows, dictionary, column, size=parts.size(column))
     return rows.drop(*[f"__text_{name}" for name in texts])
 
 
