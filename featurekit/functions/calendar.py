@@ -10,14 +10,7 @@ DAY_SECONDS = 24 * 3600
 
 def offset_timestamp(seconds: Column, start: str = "2017-12-01") -> Column:
     """Timestamp (without zone) that lies the given number of seconds after ``start``."""
-    origin = F.lit(start).cast("timestamp_ntz")
-    whole = seconds.cast("bigint")
-    return origin + F.make_dt_interval(
-        F.floor(whole / DAY_SECONDS).cast("int"),
-        F.pmod(F.floor(whole / 3600), F.lit(24)).cast("int"),
-        F.pmod(F.floor(whole / 60), F.lit(60)).cast("int"),
-        F.pmod(whole, F.lit(60)).cast("decimal(18,6)"),
-    )
+    return F.timestamp_add("SECOND", seconds.cast("bigint"), F.lit(start).cast("timestamp_ntz"))
 
 
 def seconds_since(moment: Column, start: str) -> Column:

@@ -167,8 +167,13 @@ def importance_summary(table: DataFrame, measure: str = "gain", top: int = 300)
 def compare_with_count(
     df: DataFrame, key: str, columns: Sequence[str], label: str, params: Mapping[str, object], seed: int = 42
 ) -> DataFrame:
-    """``column, features, auc`` on a stratified hold-out: each column alone and with its value count."""
-    counted = count_encode(df, columns, suffix="_count").join(stratified_holdout(df, key, label, 0.33, seed).select(key, "role"), key)
+    """``column, features, auc`` on a stratified hold-out: each column alone and with its value count.
+
+    Values are counted over all rows; only rows with a label train and test.
+    """
+    labelled = df.where(F.col(label).isNotNull())
+    roles = stratified_holdout(labelled, key, label, 0.33, seed).select(key, "role")
+    counted = count_encode(df, columns, suffix="_count").join(roles, key)
     results = []
     for column in columns:
         for names, chosen in (("value", [column]), ("value+count", [column, f"{column}_count"])):

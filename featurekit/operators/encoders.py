@@ -153,8 +153,10 @@ def null_rare(df: DataFrame, column: str, fit: Column, above: int) -> DataFrame:
 def bucket_rare(df: DataFrame, column: str, below: int, within: Sequence[str] = (), other: str = "Others") -> DataFrame:
     """Replace values carried by fewer than ``below`` rows (per ``within``) by one label; null stays null."""
     group = [*within, column]
-    rare = known_keys(df, [column]).groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    rare = rare.where(F.col("__n") < below).select(*group, F.lit(True).alias("__rare"))
-    return attach(df, rare, group).withColumn(
-        column, F.when(F.col("__rare"), F.lit(other)).otherwise(F.col(column))
-    ).drop("__rare")
+    # At most one value in every ``below`` rows is frequent, so this is the shorter of the two lists.
+    frequent = known_keys(df, [column]).groupBy(*group).agg(F.count(F.lit(1)).alias(WEIGHT))
+    frequent = frequent.where(F.col(WEIGHT) >= below).select(*group, F.lit(True).alias("__frequent"))
+    rare = F.col("__frequent").isNull() & F.col(column).isNotNull()
+    return attach(df, frequent, group).withColumn(
+        column, F.when(rare, F.lit(other)).otherwise(F.col(column))
+    ).drop("__frequent")

@@ -194,8 +194,11 @@ def _finite(column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def category_target_table(train: DataFrame, test: DataFrame, category: str, label: str) -> DataFrame:
-    """Per category: label mean, labelled rows and train frequency, with the test frequency beside them."""
+def category_target_table(train: DataFrame, test: DataFrame, category: str, label: str, sort: str | None = None) -> DataFrame:
+    """Per category: label mean, labelled rows and train frequency, with the test frequency beside them.
+
+    ``sort`` orders the table by ``alphabetic`` category or by falling ``freq``.
+    """
     # Both totals count what the frequencies are shares of: all train rows, and test rows with a category.
     total_train, total_test = train.count(), known_keys(test, [category]).count()
     left = known_keys(train, [category]).groupBy(category).agg(
@@ -204,4 +207,12 @@ def category_target_table(train: DataFrame, test: DataFrame, category: str, labe
     right = known_keys(test, [category]).groupBy(category).agg(
         (F.count(F.lit(1)) / F.lit(max(total_test, 1))).alias("freq_test")
     )
-    return left.join(right, category, "full")
+    return sort_categories(left.join(right, category, "full"), sort, category, "freq_train")
+
+
+def sort_categories(df: DataFrame, sort: str | None, category: str, frequency: str) -> DataFrame:
+    """Order a table of categories by name, by falling frequency, or not at all."""
+    if sort is None:
+        return df
+    orders = {"alphabetic": [F.asc(category)], "freq": [F.desc_nulls_last(frequency), F.asc(category)]}
+    return df.orderBy(*orders[sort])

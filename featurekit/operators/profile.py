@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from featurekit.operators.columns import columns_of
 from featurekit.operators.encoders import value_table
-from featurekit.operators.groups import crosstab_share, known_keys
+from featurekit.operators.groups import crosstab_share, known_keys, sort_categories
 from featurekit.operators.lookup import attach
 from featurekit.operators.ordering import running_sums
 from featurekit.operators.sets import top_values
@@ -71,12 +71,18 @@ def target_mix(df: DataFrame, category: str, label: str) -> DataFrame:
     return crosstab_share(df, category, label, within=category)
 
 
-def category_frequencies(df: DataFrame, column: str, is_train: Column, missing: str = "__NA__", top: int | None = None) -> DataFrame:
-    """``value, n_train, n_test`` with null shown as ``missing``; ``top`` keeps the values most frequent in train."""
+def category_frequencies(
+    df: DataFrame, column: str, is_train: Column, missing: str = "__NA__", top: int | None = None, sort: str | None = None
+) -> DataFrame:
+    """``value, n_train, n_test`` with null shown as ``missing``.
+
+    ``top`` keeps the values most frequent in train; ``sort`` orders by ``alphabetic`` value or by falling ``freq``.
+    """
     counted = df.groupBy(F.coalesce(F.col(column).cast("string"), F.lit(missing)).alias("value")).agg(
         F.count_if(is_train).alias("n_train"), F.count_if(~is_train).alias("n_test")
     )
-    return counted.orderBy(F.desc("n_train"), F.asc("value")).limit(top) if top else counted
+    kept = sort_categories(counted, "freq", "value", "n_train").limit(top) if top else counted
+    return sort_categories(kept, sort, "value", "n_train")
 
 
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:

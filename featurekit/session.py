@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The JVM does not compile methods beyond 8000 bytes of code, which wide projections exceed when fused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -228,3 +228,15 @@ def test_time_series_roles_train_on_everything_before(spark):
         train = [r["id"] for r in roles if r["fold"] == fold and r["role"] == "train"]
         valid = [r["id"] for r in roles if r["fold"] == fold and r["role"] == "valid"]
         assert sorted(train) == list(range(border)) and sorted(valid) == list(range(border, border + 10))
+
+
+def test_category_tables_can_be_sorted(tx):
+    is_train = F.col("ds") == "train"
+    by_name = [r["value"] for r in profile.category_frequencies(tx, "card", is_train, sort="alphabetic").collect()]
+    assert by_name == ["10", "20", "30", "40", "__NA__"]
+    top = profile.category_frequencies(tx, "card", is_train, top=2, sort="freq").collect()
+    assert [(r["value"], r["n_train"], r["n_test"]) for r in top] == [("10", 2, 1), ("30", 2, 0)]
+    train, test = tx.where("ds = 'train'"), tx.where("ds = 'test'")
+    table = groups.category_target_table(train, test, "card", "y", sort="freq").collect()
+    assert [r["card"] for r in table] == [10, 30, 20, 40]
+    assert (table[0]["target_mean"], table[0]["freq_train"], table[3]["freq_test"]) == (0.5, 2 / 6, 0.5)
