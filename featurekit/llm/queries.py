@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontaminate, mixing, simhash, topk
-from featurekit.llm.common import table
+from featurekit.llm import decontaminate, langid, mixing, secret_scan, simhash, topk
+from featurekit.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,19 @@ def op8_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The SimHash fingerprint of every document and the near-duplicate group it belongs to."""
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything in a document that looks like a secret, with the forest's verdict."""
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.learn(docs))
+
+
+@query()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
+    held_out = (bucket_of("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
