@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontaminate, langid, mixing, secret_scan, simhash, topk
+from featurekit.llm import decontaminate, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
 from featurekit.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs))
     held_out = (bucket_of("doc_id", 5) == 0).alias("held_out")
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, with patterns learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.assess(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity and verdict of every document, under a model of the documents labelled good."""
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every line of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
