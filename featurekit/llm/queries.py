@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontaminate, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
+from featurekit.llm import decontaminate, html, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
 from featurekit.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of every line of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.learn(pages))
