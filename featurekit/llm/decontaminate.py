@@ -45,6 +45,10 @@ def shingle_texts(length: Column | int) -> Column:
     )
 
 
+def _up_to(hashes: Column, top: int) -> Column:
+    return F.filter(hashes, lambda h: h <= F.lit(top))
+
+
 def item_sketches(items: DataFrame, shingle_words: int, containment: float) -> DataFrame:
     """One row per item that has words: item_id, length (words per shingle), texts, partition and sketch (k smallest hashes).
 
@@ -89,7 +93,7 @@ def contained_items(
         tops[b["length"]] = max(b["top"], tops.get(b["length"], b["top"]))
     sketch = F.array().cast("array<long>")
     for length, top in sorted(tops.items()):
-        sketch = F.concat(sketch, F.filter(shingle_hashes(length), lambda h, top=top: h <= F.lit(top)))  # noqa: B023
+        sketch = F.concat(sketch, _up_to(shingle_hashes(length), top))
     probes = (
         docs.select(*row_key, words("text").alias("w")).select("doc_id", "text_hash", F.explode(sketch).alias("hash"))
     )

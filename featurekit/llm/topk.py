@@ -100,7 +100,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = TOP, scale: int =
     Components become floor(scale * x). Ties go to the smaller vec_id; a candidate with the query's own vec_id is left
     out. Rows with a null vec_id, a null vector or a null, NaN or infinite component take no part. Vectors of unlike
     length are compared as if zeros followed; an empty vector scores zero. Repeated candidates count as the rows they
-    are, a query that repeats is answered once. Queries and candidates are dealt into blocks; every pair of blocks is
+    are, a query that repeats is answered once. Scores have to fit a long. Queries and candidates are dealt into blocks; every pair of blocks is
     one task, so neither side is ever held whole.
     """
     clean = lambda df: df.where(usable() & F.col("vec_id").isNotNull()).select("vec_id", quantized(scale=scale).alias("v"))
