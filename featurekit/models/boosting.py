@@ -34,7 +34,13 @@ PARAMETERS = {
 
 
 def spark_parameters(params: Mapping[str, float]) -> dict:
-    """Translate booster parameters; ``num_leaves`` becomes a depth and ``feature_fraction`` a subset strategy."""
+    """Translate booster parameters; ``num_leaves`` becomes a depth and ``feature_fraction`` a subset strategy.
+
+    Parameters without a counterpart, such as L1 and L2 penalties or a minimum child weight, are an error.
+    """
+    unknown = set(params) - set(PARAMETERS) - {"num_leaves", "feature_fraction"}
+    if unknown:
+        raise ValueError(f"no counterpart for {', '.join(sorted(unknown))}")
     translated = {PARAMETERS[k]: v for k, v in params.items() if k in PARAMETERS and not (k == "max_depth" and v < 0)}
     if "num_leaves" in params and "maxDepth" not in translated:
         translated["maxDepth"] = min(30, max(1, int(params["num_leaves"] - 1).bit_length()))

@@ -7,7 +7,9 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from featurekit.functions.numeric import nan_to_null
 from featurekit.operators.lookup import WEIGHT, attach, store
 from featurekit.session import materialize
 
@@ -25,6 +27,12 @@ def _listed(names: Sequence[str] | str) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _known(df: DataFrame, column: str) -> Column:
+    """The column, with NaN read as null where there can be any."""
+    floating = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    return nan_to_null(column) if floating else F.col(column)
+
+
 def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose group keys are all present; a null key belongs to no group."""
     for key in keys:
@@ -42,7 +50,7 @@ def group_stats(
 ) -> DataFrame:
     """One row per group with ``{prefix}{column}_{function}{suffix}`` for every pair."""
     group, columns, functions = _listed(group), _listed(columns), _listed(functions)
-    stats = [FUNCTIONS[f](c).alias(f"{prefix}{c}_{f}{suffix}") for c in columns for f in functions]
+    stats = [FUNCTIONS[f](_known(df, c)).alias(f"{prefix}{c}_{f}{suffix}") for c in columns for f in functions]
     return known_keys(df, group).groupBy(*group).agg(*stats)
 
 
@@ -63,7 +71,7 @@ def group_ratios(
     for key in keys:
         group = [*within, key]
         stats = known_keys(df, [key]).groupBy(*group).agg(
-            *[FUNCTIONS[f](v).alias(f"__{v}_{f}") for v in values for f in functions], F.count(F.lit(1)).alias(WEIGHT)
+            *[FUNCTIONS[f](_known(df, v)).alias(f"__{v}_{f}") for v in values for f in functions], F.count(F.lit(1)).alias(WEIGHT)
         )
         learnt.append((key, group, *store(stats, group)))
     for key, group, stats, size in learnt:
@@ -80,28 +88,34 @@ def group_row_counts(df: DataFrame, group: Sequence[str], name: str) -> DataFram
     return attach(df, counts, list(group))
 
 
-def category_values(df: DataFrame, columns: Sequence[str], limit: int = 1000) -> dict[str, list]:
-    """Sorted distinct values of columns that are to become table columns; raises beyond ``limit`` each."""
-    found = {}
-    for column in columns:
-        rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"{column} has more than {limit} values; use the long form")
-        found[column] = sorted(r[0] for r in rows)
-    return found
+def counts_and_ratios_long(df: DataFrame, group: Sequence[str] | str, targets: Sequence[str] | str) -> DataFrame:
+    """``group, target, value, n, ratio`` for any number of values: rows of the group with the value, and their share.
+
+    Null values are left out and the ratios of a target add up to 1 in every group.
+    """
+    group, targets = _listed(group), _listed(targets)
+    cells = F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("string").alias("value")) for t in targets])
+    rows = known_keys(df, group).select(*group, F.explode(cells).alias("__cell")).select(*group, "__cell.*")
+    counts = materialize(rows.where(F.col("value").isNotNull()).groupBy(*group, "target", "value").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy(*group, "target").agg(F.sum("n").alias("__total"), F.count(F.lit(1)).alias(WEIGHT))
+    joined = attach(counts, totals, [*group, "target"])
+    return joined.withColumn("ratio", F.col("n") / F.col("__total")).drop("__total")
 
 
 def counts_and_ratios(
     df: DataFrame,
     group: Sequence[str] | str,
     targets: Sequence[str] | str,
-    values: Mapping[str, Sequence] | None = None,
+    values: Mapping[str, Sequence],
     prefix: str = "",
     suffix: str = "",
 ) -> DataFrame:
-    """One row per group with ``{target}Cnt_{value}`` and ``{target}Ratio_{value}``; ratios of a target add up to 1."""
+    """One row per group with ``{target}Cnt_{value}`` and ``{target}Ratio_{value}`` for the listed values.
+
+    Ratios are shares of all non-null values, so those of a target add up to 1 where all its values are listed. For
+    unknown or many values there is :func:`counts_and_ratios_long`.
+    """
     group, targets = _listed(group), _listed(targets)
-    values = values or category_values(known_keys(df, group), targets)
     sums = [
         F.count_if(F.col(t) == F.lit(v)).alias(f"{prefix}{t}Cnt_{v}{suffix}") for t in targets for v in values[t]
     ] + [F.count(t).alias(f"__{t}") for t in targets]
@@ -139,7 +153,8 @@ def value_counts(df: DataFrame, column: str, top: int | None = None, nulls: bool
     source = df if nulls else known_keys(df, [column])
     counts = source.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if share:
-        total = max(source.count(), 1)
+        counts = materialize(counts)
+        total = counts.agg(F.sum("n")).first()[0] or 1
         counts = counts.withColumn("share", F.col("n") / F.lit(total))
     counts = counts.orderBy(F.desc("n"), F.asc(column))
     return counts.limit(top) if top else counts
@@ -149,17 +164,20 @@ def key_history(df: DataFrame, key: str, period: Sequence[str], label: str, top:
     """Label sums per (period, key) of the ``top`` keys that hold the largest single sums."""
     sums = materialize(known_keys(df, [*period, key]).groupBy(*period, key).agg(F.sum(label).alias("label_sum")))
     ranked = sums.orderBy(F.desc("label_sum"), *[F.asc(p) for p in period], F.asc(key)).limit(top)
-    return sums.join(F.broadcast(ranked.select(key).distinct()), key, "left_semi")
+    # At most ``top`` keys; attach measures them before it sends them anywhere.
+    listed = ranked.select(key).distinct().withColumn("__listed", F.lit(True))
+    return attach(sums, listed, key).where(F.col("__listed")).drop("__listed")
 
 
 def resample_days(df: DataFrame, moment: str, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Daily mean, sum and row count on a gap-free calendar; an empty day has null means, zero sums and zero counts."""
     days = df.withColumn("__day", F.col(moment).cast("date"))
     daily = days.groupBy(*within, "__day").agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in columns],
-        *[F.sum(c).alias(f"{c}_sum") for c in columns],
+        *[F.avg(_known(df, c)).alias(f"{c}_mean") for c in columns],
+        *[F.sum(_known(df, c)).alias(f"{c}_sum") for c in columns],
         F.count(F.lit(1)).alias("n"),
     )
+    daily = materialize(daily)
     spans = daily.groupBy(*within).agg(F.min("__day").alias("__from"), F.max("__day").alias("__to"))
     calendar = spans.select(*within, F.explode(F.sequence("__from", "__to", F.expr("interval 1 day"))).alias("__day"))
     filled = calendar.join(daily, [*within, "__day"], "left")
@@ -174,7 +192,7 @@ def resample_days(df: DataFrame, moment: str, columns: Sequence[str], within: Se
 def resample_months(df: DataFrame, moment: str, columns: Sequence[str]) -> DataFrame:
     """Monthly means on a gap-free calendar, keyed by ``yyyy-MM``."""
     months = df.withColumn("__month", F.trunc(F.col(moment).cast("date"), "month"))
-    monthly = months.groupBy("__month").agg(*[F.avg(c).alias(f"{c}_mean") for c in columns])
+    monthly = materialize(months.groupBy("__month").agg(*[F.avg(_known(df, c)).alias(f"{c}_mean") for c in columns]))
     span = monthly.agg(F.min("__month").alias("__from"), F.max("__month").alias("__to"))
     calendar = span.select(F.explode(F.sequence("__from", "__to", F.expr("interval 1 month"))).alias("__month"))
     return calendar.join(monthly, "__month", "left").select(
@@ -191,23 +209,35 @@ def correlations(df: DataFrame, columns: Sequence[str], against: str | None = No
 
 
 def _finite(column: str) -> Column:
-    return F.col(column).cast("double")
+    """The number, null for NaN: one NaN must not spoil a statistic of all rows."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
 
 
-def category_target_table(train: DataFrame, test: DataFrame, category: str, label: str, sort: str | None = None) -> DataFrame:
+def category_target_table(
+    train: DataFrame, test: DataFrame, category: str, label: str, sort: str | None = None, missing: str | None = None
+) -> DataFrame:
     """Per category: label mean, labelled rows and train frequency, with the test frequency beside them.
 
-    ``sort`` orders the table by ``alphabetic`` category or by falling ``freq``.
+    Frequencies are shares of all train rows and of the test rows with a category. ``missing`` shows the null category
+    under that name; without it null is left out. ``sort`` orders the table by ``alphabetic`` category or by falling
+    ``freq``. Either table is read once.
     """
-    # Both totals count what the frequencies are shares of: all train rows, and test rows with a category.
-    total_train, total_test = train.count(), known_keys(test, [category]).count()
-    left = known_keys(train, [category]).groupBy(category).agg(
-        F.avg(label).alias("target_mean"), F.count(label).alias("n_train")
-    ).withColumn("freq_train", F.col("n_train") / F.lit(max(total_train, 1)))
-    right = known_keys(test, [category]).groupBy(category).agg(
-        (F.count(F.lit(1)) / F.lit(max(total_test, 1))).alias("freq_test")
+    shown = F.coalesce(F.col(category).cast("string"), F.lit(missing)) if missing is not None else F.col(category)
+    sides = train.select(shown.alias(category), F.col(label).alias("__y"), F.lit(True).alias("__train")).unionByName(
+        test.select(shown.alias(category), F.lit(None).cast(train.schema[label].dataType).alias("__y"), F.lit(False).alias("__train")))
+    counts = materialize(sides.groupBy(category).agg(
+        F.avg("__y").alias("target_mean"), F.count("__y").alias("n_train"),
+        F.count_if("__train").alias("__all"), F.count_if(~F.col("__train")).alias("__test"),
+    ))
+    totals = counts.agg(F.sum("__all"), F.sum(F.when(F.col(category).isNotNull(), F.col("__test")))).first()
+    known = counts.where(F.col(category).isNotNull())
+    table = known.select(
+        category, "target_mean", F.when(F.col("__all") > 0, F.col("n_train")).alias("n_train"),
+        F.when(F.col("__all") > 0, F.col("n_train") / F.lit(totals[0] or 1)).alias("freq_train"),
+        F.when(F.col("__test") > 0, F.col("__test") / F.lit(totals[1] or 1)).alias("freq_test"),
     )
-    return sort_categories(left.join(right, category, "full"), sort, category, "freq_train")
+    return sort_categories(table, sort, category, "freq_train")
 
 
 def sort_categories(df: DataFrame, sort: str | None, category: str, frequency: str) -> DataFrame:

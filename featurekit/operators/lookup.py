@@ -57,16 +57,16 @@ def left_join(df: DataFrame, other: DataFrame, on: Sequence[str] | str) -> DataF
 
 
 def lookup_join(df: DataFrame, stored: DataFrame, on: Sequence[str] | str) -> DataFrame:
-    """Left join a stored table with one row per key to rows that repeat the key.
+    """Left join a stored table with one row per key to rows that repeat the key; a null key matches a null key.
 
-    Files small enough for Spark to broadcast by itself need nothing more; larger ones are measured and joined
-    like any dictionary.
+    Files small enough for Spark to broadcast by itself are not measured; larger ones are, and then joined like any
+    dictionary. Rows and columns are the same either way.
     """
     on = [on] if isinstance(on, str) else list(on)
     spark = df.sparkSession
     planned = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if planned <= int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()):
-        return df.join(stored, on, "left")
+        return _join(df, stored, on, null_safe=True)
     return attach(df, stored, on, size=measure(stored, on))
 
 

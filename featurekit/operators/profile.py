@@ -33,9 +33,9 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     nothing = F.lit(None).cast("double")
     parts = []
     for i, c in enumerate(columns):
-        x = F.col(c).cast("double") if c in numeric else nothing
+        x = _number(c) if c in numeric else nothing
         parts += [
-            F.count_if(F.col(c).isNull()).alias(f"nulls{i}"),
+            F.count_if((x if c in numeric else F.col(c)).isNull()).alias(f"nulls{i}"),
             (F.count_if(x == 0) if c in numeric else F.lit(None).cast("bigint")).alias(f"zeros{i}"),
             F.min(x).alias(f"min{i}"), F.avg(x).alias(f"mean{i}"), F.max(x).alias(f"max{i}"), F.stddev_samp(x).alias(f"std{i}"),
         ]
@@ -85,9 +85,15 @@ def category_frequencies(
     return sort_categories(kept, sort, "value", "n_train")
 
 
+def _number(column: str) -> Column:
+    """The column as a double; NaN is a missing value like null."""
+    x = F.col(column).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """``by, bin, n`` over equal-width bins between the smallest and largest value; the last bin is closed."""
-    x = F.col(column).cast("double")
+    x = _number(column)
     low, high = df.agg(F.min(x), F.max(x)).first()
     known = df.where(x.isNotNull())
     if low is None:
@@ -128,7 +134,7 @@ def quantile_bins(df: DataFrame, column: str, bins: int, name: str = "bin") -> D
     """Add the number of the right-closed quantile bin; the smallest value belongs to bin 0."""
     edges = quantile_edges(df, column, bins)
     inner = F.array(*[F.lit(e) for e in edges[1:-1]]) if len(edges) > 2 else F.array().cast("array<double>")
-    x = F.col(column).cast("double")
+    x = _number(column)
     return df.withColumn(name, F.when(x.isNotNull(), F.size(F.filter(inner, lambda e: x > e))))
 
 
@@ -138,8 +144,8 @@ def density(df: DataFrame, column: str, by: str, points: int = 100, cut: float =
     The bandwidth is the group's standard deviation times n^(-1/5). The grid reaches ``cut`` bandwidths beyond the
     data. Kernels are summed over distinct values, weighted by their counts.
     """
-    x = F.col(column).cast("double")
-    known = known_keys(df, [column, by])
+    x = _number(column)
+    known = known_keys(df, [by]).where(x.isNotNull())
     spread = known.groupBy(by).agg(
         F.count(F.lit(1)).alias("__n"), (F.stddev_samp(x) * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("__h"),
         F.min(x).alias("__low"), F.max(x).alias("__high"),

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featurekit.operators.encoders import value_table
 
+# Parts into which the values of a column are dealt before they are ranked.
+RANK_PARTS = 64
+
 
 def stack_datasets(train: DataFrame, test: DataFrame, name: str = "dataset") -> DataFrame:
     """One table from two, with a column that tells them apart; a column missing in one side is null there."""
@@ -44,11 +47,18 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], nulls: bool = False)
 
 
 def top_values(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
-    """``column, rank, value, n``: the most frequent non-null values of every column."""
+    """``column, rank, value, n``: the most frequent non-null values of every column.
+
+    A first ranking inside parts of a column leaves at most ``n`` values per part, for any ``n``, so the second one
+    never sees all values of a column.
+    """
     values = value_table(df, columns).where(F.col("value").isNotNull())
-    # The rank filter lets every task keep only its own first n before the shuffle.
-    best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
-    return values.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).select("column", "rank", "value", "n")
+    order = [F.desc("n"), F.asc("value")]
+    part = F.pmod(F.xxhash64("value"), F.lit(RANK_PARTS))
+    inside = Window.partitionBy("column", "__part").orderBy(*order)
+    best = Window.partitionBy("column").orderBy(*order)
+    ahead = values.withColumn("__part", part).withColumn("__rank", F.row_number().over(inside)).where(F.col("__rank") <= n)
+    return ahead.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n).select("column", "rank", "value", "n")
 
 
 def interaction_table(df: DataFrame, column: str, label: str, is_train: Column) -> DataFrame:
@@ -61,12 +71,13 @@ def interaction_table(df: DataFrame, column: str, label: str, is_train: Column)
     )
 
 
-def value_count_grid(df: DataFrame, column: str) -> DataFrame:
-    """Every distinct value beside every distinct value count.
+def value_count_grid(spark: SparkSession, values: Sequence, counts: Sequence[int], limit: int = 1_000_000) -> DataFrame:
+    """Every listed value beside every listed count, as (value, value_count); at most ``limit`` points.
 
-    The counts form the short axis: different counts add up to at most the row number N, so there are fewer than
-    sqrt(2N) of them. They travel as one array and are unfolded next to each value.
+    The axes come from the caller, such as explicit numbers or quantile edges, so the grid does not grow with the data.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    axis = counts.select("__n").distinct().agg(F.array_sort(F.collect_list("__n")).alias("__axis"))
-    return counts.select(F.col(column).alias("value"), F.explode(axis.scalar()).alias("value_count"))
+    if len(values) * len(counts) > limit:
+        raise ValueError(f"{len(values)} x {len(counts)} points are more than {limit}")
+    axis = F.array(*[F.lit(int(c)).cast("bigint") for c in counts])
+    points = spark.createDataFrame([(float(v),) for v in values], "value double")
+    return points.select("value", F.explode(axis).alias("value_count"))

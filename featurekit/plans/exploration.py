@@ -68,6 +68,17 @@ def category_freq_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.category_frequencies(transactions(spark, sf_dir), "priority", F.col("dataset") == "train")
 
 
+@query(f"""WITH {TX}, c AS (SELECT coalesce(c_nationkey::VARCHAR, '__NA__') AS value, count(*) FILTER (dataset = 'train') AS n_train,
+    count(*) FILTER (dataset <> 'train') AS n_test FROM tx GROUP BY 1 ORDER BY n_train DESC, value LIMIT 7)
+  SELECT *, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS place FROM c""")
+def category_freq_top_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven values most frequent in train, in alphabetic order; ``place`` is the row's position."""
+    found = profile.category_frequencies(
+        transactions(spark, sf_dir, customer=True), "c_nationkey", F.col("dataset") == "train", top=7, sort="alphabetic")
+    places = [(r["value"], i) for i, r in enumerate(found.collect(), 1)]
+    return found.join(spark.createDataFrame(places, "value string, place int"), "value")
+
+
 @query(f"""WITH {TX}, c AS (SELECT priority, y, count(*) AS n FROM tx WHERE priority IS NOT NULL GROUP BY ALL)
   SELECT priority, y, n, round(n / sum(n) OVER (PARTITION BY priority)::DOUBLE, 9) AS share FROM c""")
 def target_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,10 +152,12 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.resample_days(transactions(spark, sf_dir), "o_orderdate", ["cents"], ["dataset"])
 
 
-@query("""WITH c AS (SELECT p_retailprice AS value, count(*) AS n FROM part GROUP BY 1)
-  SELECT value, value_count FROM (SELECT value FROM c) CROSS JOIN (SELECT DISTINCT n AS value_count FROM c)""")
+@query(f"""WITH e AS (SELECT [{', '.join(f"quantile_cont(p_retailprice, {i}/20.0::DOUBLE)" for i in range(21))}] AS edges FROM part)
+  SELECT DISTINCT round(unnest(edges), 6) AS value, value_count FROM e CROSS JOIN (SELECT unnest(generate_series(1, 10)) AS value_count)""")
 def grid_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sets.value_count_grid(table(spark, sf_dir, "part"), "p_retailprice")
+    """A grid of the price's quantile edges and ten counts."""
+    edges = profile.quantile_edges(table(spark, sf_dir, "part"), "p_retailprice", 20)
+    return sets.value_count_grid(spark, edges, range(1, 11)).withColumn("value", rounded("value"))
 
 
 @query(f"""WITH {TX} SELECT card AS value, count(*) AS value_count, count(*) FILTER (dataset = 'train') AS n,

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurekit.functions import calendar
-from featurekit.operators import groups, sets
+from featurekit.operators import groups, profile, sets
 from featurekit.plans.registry import TX, query, rounded, table, transactions
+from featurekit.session import scratch_path
+from featurekit.sources import files
 
 
 @query(f"""WITH {TX} SELECT c_nationkey, priority, min(cents) AS "t_cents_min_s", avg(cents) AS "t_cents_mean_s",
@@ -49,10 +51,43 @@ def aggregate_join_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     round(count(*) FILTER (l_linestatus = 'O') / count(l_linestatus)::DOUBLE, 6) AS "l_linestatusRatio_O"
   FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY l_suppkey""")
 def cnt_ratio_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = groups.counts_and_ratios(table(spark, sf_dir, "lineitem"), "l_suppkey", ["l_returnflag", "l_linestatus"])
+    values = {"l_returnflag": ["A", "N", "R"], "l_linestatus": ["F", "O"]}
+    wide = groups.counts_and_ratios(table(spark, sf_dir, "lineitem"), "l_suppkey", ["l_returnflag", "l_linestatus"], values)
     return wide.select(*[rounded(c) if "Ratio_" in c else F.col(c) for c in wide.columns])
 
 
+@query("""WITH c AS (SELECT l_suppkey, 'l_partkey' AS target, l_partkey::VARCHAR AS value, count(*) AS n FROM lineitem
+      WHERE l_suppkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT l_suppkey, 'l_returnflag', l_returnflag, count(*) FROM lineitem
+      WHERE l_suppkey IS NOT NULL AND l_returnflag IS NOT NULL GROUP BY ALL)
+  SELECT l_suppkey, target, value, n, round(n / sum(n) OVER (PARTITION BY l_suppkey, target)::DOUBLE, 9) AS ratio FROM c""")
+def cnt_ratio_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and ratios of thousands of values."""
+    counts = groups.counts_and_ratios_long(table(spark, sf_dir, "lineitem"), "l_suppkey", ["l_partkey", "l_returnflag"])
+    return counts.withColumn("ratio", rounded("ratio", 9))
+
+
+@query("""WITH e AS (SELECT CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END AS q, CASE WHEN l_linenumber = 5 THEN NULL
+      ELSE l_discount END AS d, l_returnflag FROM lineitem)
+  SELECT l_returnflag, min(q) AS q_min, max(q) AS q_max, round(avg(q), 9) AS q_mean, count(q) AS q_count,
+    (SELECT round(corr(q, d), 6) FROM e) AS r, (SELECT count(*) FROM e WHERE q IS NULL) AS missing FROM e GROUP BY l_returnflag""")
+def nan_is_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN cells, written to a table and read again, count as missing in every statistic."""
+    nan = F.lit(float("nan"))
+    dirty = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_linenumber") == 3, nan).otherwise(F.col("l_quantity")).alias("q"),
+        F.when(F.col("l_linenumber") == 5, nan).otherwise(F.col("l_discount")).alias("d"), "l_returnflag",
+    )
+    stats = groups.group_stats(dirty, "l_returnflag", "q", ["min", "max", "mean", "count"])
+    path = scratch_path(spark, "dirty")
+    files.write_table(dirty, path)
+    stored = files.read_table(spark, path)
+    r = groups.correlations(dirty, ["q", "d"]).first()["r"]
+    missing = profile.null_counts(stored, ["q"]).first()["nulls"]
+    return stats.select("l_returnflag", "q_min", "q_max", rounded("q_mean", 9), "q_count",
+                        F.round(F.lit(r), 6).alias("r"), F.lit(missing).cast("bigint").alias("missing"))
+
+
 @query(f"""WITH {TX} SELECT card, period, count(*) AS n FROM tx WHERE card IS NOT NULL AND period IS NOT NULL GROUP BY card, period""")
 def crosstab_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.crosstab(transactions(spark, sf_dir), "card", "period")
@@ -111,9 +146,8 @@ def calendar_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx, parts = transactions(spark, sf_dir), calendar.parts(F.col("o_orderdate"))
     keys = ["year", "month", "dow"]
     tx = tx.select("y", "o_totalprice", *[parts[k].alias(k) for k in keys])
-    stats = groups.group_stats(tx, keys, ["y"], ["mean", "sum", "count"])
-    sums = groups.group_stats(tx, keys, ["o_totalprice"], ["sum"])
-    return stats.join(sums, keys).withColumns({
+    stats = groups.group_stats(tx, keys, ["y", "o_totalprice"], ["mean", "sum", "count"])
+    return stats.drop("o_totalprice_mean", "o_totalprice_count").withColumns({
         "y_mean": rounded("y_mean", 9), "o_totalprice_sum": rounded("o_totalprice_sum", 2)
     })
 
@@ -179,6 +213,24 @@ def category_vs_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.withColumns({c: rounded(c, 9) for c in ("target_mean", "freq_train", "freq_test")})
 
 
+@query(f"""WITH {TX},
+  a AS (SELECT coalesce(priority, '__NA__') AS p, avg(y) AS m, count(y) AS n FROM tx WHERE dataset = 'train' GROUP BY 1),
+  b AS (SELECT coalesce(priority, '__NA__') AS p, count(*) AS n FROM tx WHERE dataset = 'test' GROUP BY 1)
+  SELECT coalesce(a.p, b.p) AS priority, round(m, 9) AS target_mean, a.n AS n_train, round(a.n / (SELECT sum(n) FROM a)::DOUBLE, 9) AS freq_train,
+    round(b.n / (SELECT sum(n) FROM b)::DOUBLE, 9) AS freq_test,
+    CAST(row_number() OVER (ORDER BY a.n DESC NULLS LAST, coalesce(a.p, b.p)) AS INTEGER) AS place
+  FROM a FULL JOIN b ON a.p = b.p""")
+def category_vs_target_with_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The null category shown, most frequent first; ``place`` is the row's position in the sorted table."""
+    tx = transactions(spark, sf_dir)
+    result = groups.category_target_table(
+        sets.take_dataset(tx, "train"), sets.take_dataset(tx, "test"), "priority", "y", sort="freq", missing="__NA__")
+    # A handful of categories: their order is read off the sorted rows.
+    places = [(r["priority"], i) for i, r in enumerate(result.collect(), 1)]
+    numbered = result.join(spark.createDataFrame(places, "priority string, place int"), "priority")
+    return numbered.withColumns({c: rounded(c, 9) for c in ("target_mean", "freq_train", "freq_test")})
+
+
 @query(f"""WITH {TX} SELECT max(o_totalprice) AS max_price, min(o_totalprice) AS min_price, avg(cents) AS mean_cents,
     round(stddev_samp(o_totalprice), 4) AS std_price, strftime(max(o_orderdate), '%Y-%m-%d') AS last_day FROM tx""")
 def scalar_stats(spark: SparkSession, sf_dir: str) -> DataFrame:

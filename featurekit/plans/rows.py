@@ -46,12 +46,12 @@ def amount_to_group_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tx.select("o_orderkey", *[rounded(c, 4) for c in tx.columns if "_to_std_" in c])
 
 
-@query("""SELECT d.doc_id AS doc_id, lang, source, n_chars, quality, toxic,
+@query("""SELECT d.doc_id AS doc_id, text, lang, source, n_chars, quality, toxic,
     CASE WHEN l.doc_id IS NOT NULL THEN 1 END AS had_label
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def identity_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").withColumn("had_label", F.lit(1))
-    return left_join(table(spark, sf_dir, "documents").drop("text"), labels, "doc_id")
+    return left_join(table(spark, sf_dir, "documents"), labels, "doc_id")
 
 
 @query("""SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
@@ -176,14 +176,16 @@ def narrow_types_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns.narrowing_report(table(spark, sf_dir, "lineitem"))
 
 
-@query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_quantity AS INTEGER) AS quantity, l_returnflag,
-    l_shipdate::VARCHAR AS shipped FROM lineitem""")
+@query("""SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS TINYINT) AS l_linenumber,
+    CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_extendedprice AS FLOAT) AS l_extendedprice, CAST(l_discount AS FLOAT) AS l_discount,
+    CAST(l_tax AS FLOAT) AS l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS shipped FROM lineitem""")
 def narrow_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Narrowed floats and bytes as they are; the three keys are widened again, for their width depends on the table."""
     narrow = columns.narrow_types(table(spark, sf_dir, "lineitem"))
     return narrow.select(
         *[F.col(c).cast("bigint").alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey")],
-        F.col("l_linenumber").cast("int").alias("l_linenumber"), F.col("l_quantity").cast("int").alias("quantity"),
-        "l_returnflag", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"),
+        "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"),
     )
 
 

@@ -13,12 +13,14 @@ from featurekit.sources import files
 from featurekit.sources.catalog import FeatureCatalog
 
 
-@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders")
+@query("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
+    """All columns through CSV; the moment is shown as text, which every engine writes alike."""
+    orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders.csv")
     files.write_csv(orders, path)
-    return files.read_csv(spark, path, orders.schema)
+    back = files.read_csv(spark, path, orders.schema)
+    return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(f"""WITH {TX}, s AS (SELECT dataset, o_custkey, avg(o_totalprice) AS m FROM tx GROUP BY ALL)

@@ -52,8 +52,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}/{name}"
+    """A fresh path under the shared checkpoint folder; it is deleted when the session's application ends."""
+    folder = f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return f"{folder}/{name}"
 
 
 def materialize_by(df: DataFrame, column: str) -> DataFrame:

@@ -6,10 +6,10 @@ from collections.abc import Callable, Sequence
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from featurekit.operators.columns import rename
 from featurekit.operators.lookup import attach_all
-from featurekit.operators.profile import require_same_rows
 
 
 class FeatureCatalog:
@@ -22,10 +22,12 @@ class FeatureCatalog:
     def __init__(self, spark: SparkSession, root: str, key: str = "TransactionID", dataset: str = "dataset"):
         self.spark, self.root, self.key, self.dataset = spark, root.rstrip("/"), key, dataset
 
+    def _folder(self, path: str) -> tuple:
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _entries(self, path: str, prefix: str) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        folder, files = self._folder(path)
         if not files.exists(folder):
             return []
         names = [s.getPath().getName() for s in files.listStatus(folder)]
@@ -44,9 +46,12 @@ class FeatureCatalog:
             raise ValueError(f"feature id {feature_id} already belongs to {taken[0]}")
         prefix = f"{feature_id}__"
         fixed = [c for c in df.columns if c in (self.key, self.dataset) or c.startswith(prefix)]
-        rename(df, prefix=prefix, key=fixed).write.mode("overwrite").partitionBy(self.dataset).parquet(
-            f"{self.root}/feature_id={feature_id}/name={name}"
-        )
+        path = f"{self.root}/feature_id={feature_id}/name={name}"
+        rename(df, prefix=prefix, key=fixed).write.mode("overwrite").partitionBy(self.dataset).parquet(path)
+        repeated = self.spark.read.parquet(path).groupBy(self.key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not repeated.isEmpty():
+            self._folder(path)[1].delete(self._folder(path)[0], True)
+            raise ValueError(f"feature id {feature_id}: {self.key} is not unique in {name}")
 
     def load(self, feature_id: str) -> DataFrame:
         """The one table stored under an id."""
@@ -56,10 +61,12 @@ class FeatureCatalog:
         return self.spark.read.parquet(f"{self.root}/feature_id={feature_id}/name={names[0]}")
 
     def attach(self, base: DataFrame, ids: Sequence[str] | str = ()) -> DataFrame:
-        """Join feature tables to ``base``; one id, a list of ids, or nothing for all. The row count must not change."""
+        """Join feature tables to ``base``; one id, a list of ids, or nothing for all.
+
+        Nothing is computed here. Stored keys are unique, so the rows of ``base`` stay as many as they are.
+        """
         wanted = [ids] if isinstance(ids, str) else list(ids) or self.ids()
-        tables = [self.load(i).drop(self.dataset) for i in wanted]
-        return require_same_rows(base.count(), attach_all(base, tables, self.key))
+        return attach_all(base, [self.load(i).drop(self.dataset) for i in wanted], self.key)
 
     def feature(self, feature_id: str, name: str) -> Callable:
         """Decorator for a function that returns key, dataset and new columns: the result is stored, then returned."""

@@ -58,7 +58,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A Parquet table; NaN becomes null, as in CSV files."""
+    return clean_numbers(spark.read.parquet(path))
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -16,6 +16,7 @@ from featurekit.operators.lookup import (
     store,
     with_row_id,
 )
+from featurekit.session import scratch_path
 
 NEVER = BroadcastLimit(0, 0)
 
@@ -128,3 +129,20 @@ def test_empty_dictionary_and_empty_rows(spark, skewed, tmp_path):
         dictionary = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         assert attach(rows.where("id < 0"), dictionary, "key", limit=limit).count() == 0
     assert store(nothing, ["key"])[1].rows == 0
+
+
+def test_stored_table_joins_alike_at_every_size(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "z"), (4, None)], "id int, k string")
+    path = scratch_path(spark, "stored")
+    spark.createDataFrame([("a", 1.0), (None, 2.0), ("b", 3.0)], "k string, v double").write.parquet(path)
+    found = []
+    for limit in ("10485760", "-1"):
+        kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            joined = lookup_join(left, spark.read.parquet(path), "k")
+            found.append((joined.columns, sorted(joined.collect())))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert found[0] == found[1] and found[0][0] == ["id", "k", "v"]
+    assert {r["id"]: r["v"] for r in found[0][1]} == {1: 1.0, 2: 2.0, 3: None, 4: 2.0}

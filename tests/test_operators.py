@@ -80,10 +80,12 @@ def test_group_stats_names_and_null_groups(tx):
 
 
 def test_wide_counts(tx):
-    wide = {r["card"]: r for r in groups.counts_and_ratios(tx, "card", ["y"]).collect()}
+    wide = {r["card"]: r for r in groups.counts_and_ratios(tx, "card", ["y"], {"y": [0, 1]}).collect()}
     assert (wide[10]["yCnt_0"], wide[10]["yRatio_1"], wide[40]["yCnt_0"], wide[40]["yRatio_0"]) == (1, 0.5, 0, None)
-    with pytest.raises(ValueError):
-        groups.category_values(tx, ["card"], limit=2)
+    long = {(r["card"], r["value"]): (r["n"], r["ratio"]) for r in groups.counts_and_ratios_long(tx, "card", ["y"]).collect()}
+    assert long[10, "0"] == (1, 0.5) and not any(card in (None, 40) for card, _ in long)
+    many = tx.sparkSession.range(5000).selectExpr("1 AS g", "id AS v")
+    assert groups.counts_and_ratios_long(many, "g", ["v"]).count() == 5000
 
 
 @pytest.fixture(scope="module")
@@ -173,8 +175,31 @@ def test_category_difference_counts_null_as_value(tx):
 
 
 def test_value_count_grid(tx):
-    grid = {(r["value"], r["value_count"]) for r in sets.value_count_grid(tx, "card").collect()}
-    assert grid == {(v, n) for v in (10, 20, 30, 40) for n in (1, 2, 3)}
+    grid = {(r["value"], r["value_count"]) for r in sets.value_count_grid(tx.sparkSession, [10, 20.5], (1, 2, 3)).collect()}
+    assert grid == {(v, n) for v in (10.0, 20.5) for n in (1, 2, 3)}
+    with pytest.raises(ValueError):
+        sets.value_count_grid(tx.sparkSession, range(10), range(10), limit=99)
+
+
+def test_top_values_rank_in_parts_first(spark):
+    df = spark.range(3000).selectExpr("id % 1500 AS v")
+    top = sets.top_values(df, ["v"], 1200)
+    assert top.count() == 1200 and top._jdf.queryExecution().executedPlan().toString().count("Window") >= 2
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(i, "g", float(i) if i != 4 else nan) for i in range(10)], "id int, g string, x double")
+    assert {r["bin"]: r["n"] for r in profile.histogram(df, "x", 3).collect()} == {0: 3, 1: 2, 2: 4}
+    bins = {r["id"]: r["bin"] for r in profile.quantile_bins(df, "x", 3).collect()}
+    assert bins[4] is None and bins[9] == 2
+    assert all(r["density"] == r["density"] for r in profile.density(df, "x", "g", points=5).collect())
+    stats = groups.group_stats(df, "g", "x", ["mean", "max", "count"]).first()
+    assert (stats["x_max"], stats["x_count"]) == (9.0, 9) and abs(stats["x_mean"] - 41 / 9) < 1e-12
+    pairs = groups.correlations(df.selectExpr("x", "CAST(id AS double) AS y"), ["x", "y"]).first()
+    assert abs(pairs["r"] - 1) < 1e-12
+    row = profile.column_profile(df, ["x"]).first()
+    assert (row["nulls"], row["max"]) == (1, 9.0)
 
 
 def test_quantile_bins_drop_repeated_edges(spark):

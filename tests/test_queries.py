@@ -6,6 +6,7 @@ import pytest
 from compare import compare, connect
 
 from __spark_entry__ import entry, oracle_sql, queries
+from featurekit.plans.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +18,14 @@ def test_every_statement_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, sf_dir, connection, name):
-    assert compare(queries()[name](spark, sf_dir), oracle_sql()[name], connection) == []
+    assert compare(QUERIES[name](spark, sf_dir), ORACLES[name], connection) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_training_query_has_rows(spark, sf_dir, name):
-    result = queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     rows = result.collect()
     assert rows
     for column in ("auc", "mean_auc", "score", "score_mean"):
