@@ -1,26 +1,29 @@
-"""Boosted trees per fold on Spark ML: training, choice of rounds by AUC, scoring and importances."""
+"""Boosted trees per fold on Spark ML: training that stops early, scoring, storage and importances."""
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurekit.operators.encoders import count_encode
 from featurekit.operators.metrics import roc_auc
 from featurekit.operators.sets import stack_all, value_count_grid
 from featurekit.operators.splits import stratified_holdout
+from featurekit.session import materialize, scratch_path
 
 MISSING = -999.0
 
+# A category with more levels than a split can tell apart has to be encoded before it is a feature.
+MAX_LEVELS = 1000
+
 # Booster parameter names and the Spark ML parameters that play their part.
 PARAMETERS = {
     "n_estimators": "maxIter",
@@ -49,94 +52,150 @@ def spark_parameters(params: Mapping[str, float]) -> dict:
     return translated
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Add the feature vector; nulls take a fixed sentinel, because tree nodes cannot split on a missing value."""
-    filled = df.withColumns({f"__f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in features})
+def category_levels(df: DataFrame, categories: Sequence[str]) -> dict[str, list[str]]:
+    """The levels of category columns, most frequent first; a column of more than ``MAX_LEVELS`` is an error."""
+    levels = {}
+    for c in categories:
+        text = df.select(F.col(c).cast("string").alias(c)).where(F.col(c).isNotNull())
+        found = StringIndexer(inputCol=c, outputCol="__i").fit(text).labels if not text.isEmpty() else []
+        if len(found) > MAX_LEVELS:
+            raise ValueError(f"{c} has {len(found)} levels; count or target encode it first")
+        levels[c] = list(found)
+    return levels
+
+
+def assemble(df: DataFrame, features: Sequence[str], levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Add the feature vector ``__features``.
+
+    Null numbers take a fixed sentinel, because tree nodes cannot split on a missing value. Columns in ``levels`` are
+    categories: the vector marks them as nominal, and null and unknown values share one more level.
+    """
+    levels = levels or {}
+    numbers = [c for c in features if c not in levels]
+    filled = df.withColumns({f"__f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numbers})
+    for c, found in levels.items():
+        named = filled.withColumn(f"__s_{c}", F.col(c).cast("string"))
+        indexer = StringIndexerModel.from_labels(list(found) or [""], f"__s_{c}", f"__f_{c}", handleInvalid="keep")
+        filled = indexer.transform(named).drop(f"__s_{c}")
     vector = VectorAssembler(inputCols=[f"__f_{c}" for c in features], outputCol="__features")
     return vector.transform(filled).drop(*[f"__f_{c}" for c in features])
 
 
 @dataclass
 class FoldModel:
-    """A trained booster, the number of rounds it scores with, and the fold it left out."""
+    """A trained booster, the rounds it kept, the fold it left out and the levels of its category features."""
 
     model: GBTClassificationModel
     features: list[str]
     rounds: int
     fold: int
-
-    def margins(self, rows: DataFrame) -> tuple[DataFrame, list[Column]]:
-        """Rows, which must hold the feature vector, with one weighted tree output per round, as columns."""
-        outputs = []
-        for i, (tree, weight) in enumerate(zip(self.model.trees[: self.rounds], self.model.treeWeights)):
-            name = f"__t{self.fold}_{i}"
-            rows = tree.setFeaturesCol("__features").setPredictionCol(name).transform(rows)
-            outputs.append(F.col(name) * F.lit(float(weight)))
-        return rows, outputs
+    levels: dict[str, list[str]] = field(default_factory=dict)
+
+    def first_rounds(self, rounds: int) -> FoldModel:
+        """The same booster cut after some rounds."""
+        if rounds >= self.rounds:
+            return self
+        context, java = SparkSession.active().sparkContext, self.model._java_obj
+        packages = context._jvm.org.apache.spark.ml
+        trees = context._gateway.new_array(packages.regression.DecisionTreeRegressionModel, rounds)
+        weights = context._gateway.new_array(context._gateway.jvm.double, rounds)
+        for i in range(rounds):
+            trees[i], weights[i] = java.trees()[i], float(java.treeWeights()[i])
+        cut = packages.classification.GBTClassificationModel(f"{java.uid()}_{rounds}", trees, weights)
+        return FoldModel(GBTClassificationModel(cut), self.features, rounds, self.fold, self.levels)
+
+    def probability(self, rows: DataFrame, name: str) -> DataFrame:
+        """Add the probability of a positive label to rows that hold the feature vector; one expression for all rounds."""
+        model = self.model.copy().setFeaturesCol("__features").setProbabilityCol("__p").setRawPredictionCol("").setPredictionCol("")
+        return model.transform(rows).withColumn(name, vector_to_array("__p")[1]).drop("__p")
 
     def score(self, df: DataFrame, name: str = "score") -> DataFrame:
         """Add the probability of a positive label."""
-        rows, outputs = self.margins(assemble(df, self.features))
-        return rows.select(*df.columns, _probability(reduce(add, outputs)).alias(name))
+        return self.probability(assemble(df, self.features, self.levels), name).select(*df.columns, name)
 
     def save(self, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/fold={self.fold}")
-
-
-def _probability(margin: Column) -> Column:
-    return 1.0 / (1.0 + F.exp(-2.0 * margin))
-
-
-def fit(df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], fold: int = 0) -> FoldModel:
-    """Train on all rows of ``df`` with Spark ML parameters."""
-    rows = assemble(df.where(F.col(label).isNotNull()), features).select(F.col(label).cast("double").alias("__y"), "__features")
-    booster = GBTClassifier(featuresCol="__features", labelCol="__y", **params)
-    model = booster.fit(rows)
-    return FoldModel(model, list(features), model.getNumTrees, fold)
-
-
-def auc_by_round(model: FoldModel, df: DataFrame, label: str) -> DataFrame:
-    """``round, n_pos, n_neg, auc`` of the growing ensemble on ``df``, from one scoring pass."""
-    rows, outputs = model.margins(assemble(df, model.features))
-    sums = [reduce(add, outputs[: i + 1]) for i in range(len(outputs))]
-    staged = F.posexplode(F.array(*sums)).alias("round", "margin")
-    return roc_auc(rows.select(F.col(label).alias("y"), staged), "y", "margin", ["round"])
-
-
-def best_round(aucs: Sequence[float | None], patience: int) -> int:
-    """Number of rounds of the highest AUC before ``patience`` rounds without improvement."""
-    best, at = float("-inf"), 0
-    for i, auc in enumerate(aucs):
-        if auc is not None and auc > best:
-            best, at = auc, i
-        elif i - at >= patience:
-            break
-    return at + 1
+        """Store the booster and all that scoring needs under ``{path}/fold={fold}``."""
+        folder = f"{path}/fold={self.fold}"
+        self.model.write().overwrite().save(f"{folder}/model")
+        row = [(self.features, self.rounds, list(self.levels.items()))]
+        kind = "features array<string>, rounds int, levels array<struct<name: string, labels: array<string>>>"
+        SparkSession.active().createDataFrame(row, kind).coalesce(1).write.mode("overwrite").json(f"{folder}/about")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, fold: int) -> FoldModel:
+        folder = f"{path}/fold={fold}"
+        kind = "features array<string>, rounds int, levels array<struct<name: string, labels: array<string>>>"
+        about = spark.read.schema(kind).json(f"{folder}/about").first()
+        levels = {x["name"]: list(x["labels"]) for x in about["levels"]}
+        return FoldModel(GBTClassificationModel.load(f"{folder}/model"), list(about["features"]), about["rounds"], fold, levels)
+
+
+def fit(
+    df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], fold: int = 0,
+    valid: DataFrame | None = None, categories: Sequence[str] = (),
+) -> FoldModel:
+    """Train on the labelled rows of ``df`` with Spark ML parameters.
+
+    With ``valid``, training ends in the round after which the loss there no longer falls (by Spark ML's
+    ``validationTol``), and the booster keeps the rounds up to its lowest loss.
+    """
+    levels = category_levels(df, categories)
+    rows = df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias("__y"), F.lit(False).alias("__valid"))
+    settings = dict(params)
+    if valid is not None:
+        check = valid.where(F.col(label).isNotNull())
+        rows = rows.union(check.select(*features, F.col(label).cast("double"), F.lit(True)))
+        settings["validationIndicatorCol"] = "__valid"
+    if levels:
+        settings["maxBins"] = max(settings.get("maxBins", 32), 2 + max(map(len, levels.values())))
+    stored = materialize(assemble(rows, features, levels).select("__y", "__valid", "__features"))
+    model = GBTClassifier(featuresCol="__features", labelCol="__y", **settings).fit(stored)
+    return FoldModel(model, list(features), model.getNumTrees, fold, levels)
+
+
+def checkpoints(rounds: int, most: int = 8) -> list[int]:
+    """At most ``most`` numbers of rounds at which an ensemble is looked at: 1, the last one and even steps on a log scale."""
+    steps = {round(rounds ** (i / max(1, most - 1))) for i in range(most)}
+    return sorted({1, rounds} | {s for s in steps if 1 <= s <= rounds})
+
+
+def auc_by_round(model: FoldModel, df: DataFrame, label: str, at: Sequence[int] | None = None) -> DataFrame:
+    """``round, n_pos, n_neg, auc`` of the ensemble cut after the rounds ``at`` (:func:`checkpoints` by default)."""
+    at = [r for r in (at or checkpoints(model.rounds)) if r <= model.rounds]
+    rows = assemble(df, model.features, model.levels)
+    for r in at:
+        rows = model.first_rounds(r).probability(rows, f"__at{r}")
+    staged = F.explode(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"__at{r}").alias("score")) for r in at])).alias("x")
+    return roc_auc(rows.select(F.col(label).alias("y"), staged).select("y", "x.*"), "y", "score", ["round"])
 
 
 def fit_folds(
     df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], k: int,
-    fold: str = "fold", valid: DataFrame | None = None, patience: int = 100,
+    fold: str = "fold", valid: DataFrame | None = None, early: bool = True, categories: Sequence[str] = (),
+    at: Sequence[int] | None = None,
 ) -> tuple[list[FoldModel], DataFrame]:
-    """Train one model per left-out fold and cut each at its best round.
+    """Train one model per left-out fold.
 
-    The round is chosen on ``valid`` (a fixed hold-out) or, without one, on the left-out fold.
-    Returns the models and ``fold, round, auc`` of every round tried.
+    With ``early`` each one stops by its loss on ``valid`` (a fixed hold-out) or, without one, on the left-out fold.
+    Returns the models and ``fold, round, auc`` there at the :func:`checkpoints` of the rounds. The rows are computed
+    once and stored, so no fold repeats the joins and encodings behind ``df``.
     """
+    rows = materialize(df.select(*dict.fromkeys([*features, label, fold])))
+    hold_out = materialize(valid.select(*features, label)) if valid is not None else None
     models, tables = [], []
     for i in range(k):
-        model = fit(df.where(F.col(fold) != i), features, label, params, i)
-        check = valid if valid is not None else df.where(F.col(fold) == i)
-        rounds = auc_by_round(model, check, label).select("round", "auc").orderBy("round").collect()
-        model.rounds = best_round([r["auc"] for r in rounds], patience)
+        check = hold_out if hold_out is not None else rows.where(F.col(fold) == i)
+        model = fit(rows.where(F.col(fold) != i), features, label, params, i, check if early else None, categories)
         models.append(model)
-        tables += [(i, r["round"], r["auc"]) for r in rounds]
+        found = auc_by_round(model, check, label, at).select("round", "auc").collect()
+        tables += [(i, r["round"], r["auc"]) for r in found]
     return models, df.sparkSession.createDataFrame(tables, "fold int, round int, auc double")
 
 
 def cv_summary(rounds: DataFrame) -> DataFrame:
-    """Mean and population standard deviation of the fold AUCs for every round."""
-    return rounds.groupBy("round").agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"))
+    """Mean and population standard deviation of the fold AUCs, and their number, for every round looked at."""
+    return rounds.groupBy("round").agg(
+        F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"), F.count("auc").alias("folds"))
 
 
 def out_of_fold(models: Sequence[FoldModel], df: DataFrame, fold: str = "fold") -> DataFrame:
@@ -146,23 +205,26 @@ def out_of_fold(models: Sequence[FoldModel], df: DataFrame, fold: str = "fold")
 
 def ensemble_mean(models: Sequence[FoldModel], df: DataFrame, name: str = "score") -> DataFrame:
     """Score rows with the mean of all fold models, in one pass and without a shuffle."""
-    rows, scores = assemble(df, models[0].features), []
-    for m in models:
-        rows, outputs = m.margins(rows)
-        scores.append(_probability(reduce(add, outputs)))
-    return rows.select(*df.columns, (reduce(add, scores) / len(models)).alias(name))
+    rows, shared = df, None
+    names = [f"__p{i}" for i in range(len(models))]
+    for column, m in zip(names, models):
+        if shared != m.levels:  # models of one feature set share the vector
+            rows, shared = assemble(rows.drop("__features"), m.features, m.levels), m.levels
+        rows = m.probability(rows, column)
+    return rows.select(*df.columns, (reduce(add, map(F.col, names)) / len(models)).alias(name))
 
 
 def importances(models: Sequence[FoldModel], df: DataFrame) -> DataFrame:
     """``feature, gain, splits, fold``: share of impurity gain and number of splits per feature and fold."""
-    rows = []
+    spark, rows = df.sparkSession, []
     for m in models:
-        splits = Counter(
-            int(x) for tree in m.model.trees for x in re.findall(r"If \(feature (\d+) ", tree.toDebugString)
-        )
+        path = scratch_path(spark, "importance")
+        m.model.write().save(path)
+        nodes = spark.read.parquet(f"{path}/data").where("nodeData.leftChild >= 0")
+        splits = {r["f"]: r["count"] for r in nodes.groupBy(F.col("nodeData.split.featureIndex").alias("f")).count().collect()}
         gains = m.model.featureImportances
-        rows += [(f, float(gains[i]), splits[i], m.fold) for i, f in enumerate(m.features)]
-    return df.sparkSession.createDataFrame(rows, "feature string, gain double, splits int, fold int")
+        rows += [(f, float(gains[i]), splits.get(i, 0), m.fold) for i, f in enumerate(m.features)]
+    return spark.createDataFrame(rows, "feature string, gain double, splits int, fold int")
 
 
 def importance_summary(table: DataFrame, measure: str = "gain", top: int = 300) -> DataFrame:
@@ -173,28 +235,37 @@ def importance_summary(table: DataFrame, measure: str = "gain", top: int = 300)
 def compare_with_count(
     df: DataFrame, key: str, columns: Sequence[str], label: str, params: Mapping[str, object], seed: int = 42
 ) -> DataFrame:
-    """``column, features, auc`` on a stratified hold-out: each column alone and with its value count.
+    """``column, features, n_pos, n_neg, auc`` on a stratified hold-out: each column alone and with its value count.
 
     Values are counted over all rows; only rows with a label train and test.
     """
     labelled = df.where(F.col(label).isNotNull())
     roles = stratified_holdout(labelled, key, label, 0.33, seed).select(key, "role")
-    counted = count_encode(df, columns, suffix="_count").join(roles, key)
+    wide = count_encode(df.select(key, label, *columns), columns, suffix="_count").join(roles, key)
+    counted = materialize(wide)
     results = []
     for column in columns:
         for names, chosen in (("value", [column]), ("value+count", [column, f"{column}_count"])):
             model = fit(counted.where(F.col("role") == "train"), chosen, label, params)
             scored = model.score(counted.where(F.col("role") == "test"))
             results.append(roc_auc(scored, label, "score").select(
-                F.lit(column).alias("column"), F.lit(names).alias("features"), "auc"
+                F.lit(column).alias("column"), F.lit(names).alias("features"), "n_pos", "n_neg", "auc"
             ))
     return stack_all(results)
 
 
-def grid_scores(df: DataFrame, column: str, label: str, params: Mapping[str, object]) -> DataFrame:
-    """``value, value_count, score``: a model on a column and its count, scored on the grid of both."""
+def grid_scores(
+    df: DataFrame, column: str, label: str, params: Mapping[str, object], values: Sequence[float], counts: Sequence[int]
+) -> DataFrame:
+    """``value, value_count, score``: a model on a column and its count, scored on a grid of given values and counts."""
     counted = count_encode(df, [column], suffix="_count").select(
         F.col(column).alias("value"), F.col(f"{column}_count").alias("value_count"), label
     )
     model = fit(counted, ["value", "value_count"], label, params)
-    return model.score(value_count_grid(df, column))
+    return model.score(value_count_grid(df.sparkSession, values, counts))
+
+
+def in_range(score: str | Column = "score") -> Column:
+    """Whether a score is a probability; null scores are not."""
+    s = F.col(score) if isinstance(score, str) else score
+    return F.coalesce(s.between(0.0, 1.0), F.lit(False))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -24,22 +23,24 @@ def data(spark):
 
 @pytest.fixture(scope="module")
 def trained(data):
-    return boosting.fit_folds(data, ["x", "z"], "y", PARAMS, 2, patience=10)
+    return boosting.fit_folds(data, ["x", "z"], "y", PARAMS, 2, early=False)
 
 
 def test_parameters():
     translated = boosting.spark_parameters({"n_estimators": 10, "num_leaves": 256, "max_depth": -1, "feature_fraction": 0.7, "bagging_fraction": 0.5})
     assert translated == {"maxIter": 10, "maxDepth": 8, "featureSubsetStrategy": "0.7", "subsamplingRate": 0.5}
     assert boosting.spark_parameters({"num_leaves": 5})["maxDepth"] == 3
+    with pytest.raises(ValueError, match="lambda_l1"):
+        boosting.spark_parameters({"lambda_l1": 1.0, "n_estimators": 3})
 
 
-def test_best_round():
-    assert boosting.best_round([0.5, 0.7, 0.6, 0.65, 0.9], patience=2) == 2
-    assert boosting.best_round([0.5, 0.7, 0.6, 0.65, 0.9], patience=9) == 5
-    assert boosting.best_round([None, None], patience=1) == 1
+def test_checkpoints():
+    assert boosting.checkpoints(1) == [1] and boosting.checkpoints(4) == [1, 2, 3, 4]
+    many = boosting.checkpoints(300)
+    assert many[0] == 1 and many[-1] == 300 and len(many) <= 9
 
 
-def test_full_score_is_the_model_probability(data):
+def test_score_is_the_model_probability(data):
     model = boosting.fit(data, ["x", "z"], "y", PARAMS)
     ours = {r["id"]: r["score"] for r in model.score(data).collect()}
     rows = model.model.transform(boosting.assemble(data, ["x", "z"]))
@@ -47,19 +48,47 @@ def test_full_score_is_the_model_probability(data):
     assert ours == pytest.approx(theirs, abs=1e-12)
 
 
-def test_last_round_auc_is_the_model_auc(data):
+def test_plan_does_not_grow_with_rounds(data):
+    few, many = (boosting.fit(data, ["x"], "y", {"maxIter": n, "maxDepth": 1, "seed": 1}) for n in (2, 40))
+    sizes = [len(m.score(data)._jdf.queryExecution().optimizedPlan().toString()) for m in (few, many)]
+    assert abs(sizes[0] - sizes[1]) < 100
+
+
+def test_auc_of_cut_ensembles(data):
     model = boosting.fit(data, ["x", "z"], "y", PARAMS)
     rounds = {r["round"]: r["auc"] for r in boosting.auc_by_round(model, data, "y").collect()}
-    assert sorted(rounds) == [0, 1, 2, 3]
-    assert rounds[3] == pytest.approx(metrics.roc_auc(model.score(data), "y", "score").first()["auc"], abs=1e-12)
-    assert rounds[3] > 0.85
+    assert sorted(rounds) == [1, 2, 3, 4]
+    assert rounds[4] == pytest.approx(metrics.roc_auc(model.score(data), "y", "score").first()["auc"], abs=1e-12)
+    cut = model.first_rounds(2)
+    assert cut.model.getNumTrees == 2
+    assert rounds[2] == pytest.approx(metrics.roc_auc(cut.score(data), "y", "score").first()["auc"], abs=1e-12)
+    assert rounds[4] > 0.85
+
+
+def test_training_stops_early(data):
+    noise = data.withColumn("y", F.pmod(F.xxhash64(F.col("id") + 99), F.lit(2)).cast("int"))
+    model = boosting.fit(noise.where("fold = 0"), ["x", "z"], "y", {**PARAMS, "maxIter": 30}, valid=noise.where("fold = 1"))
+    assert model.rounds == model.model.getNumTrees < 30
+
+
+def test_categories_are_nominal(data):
+    letters = data.withColumn("c", F.when(F.col("z").isNotNull(), F.concat(F.lit("k"), F.pmod(F.col("z") * 7, F.lit(10)).cast("string"))))
+    letters = letters.withColumn("y", F.col("c").isin("k0", "k3", "k8").cast("int"))
+    model = boosting.fit(letters.where("y IS NOT NULL"), ["c"], "y", {"maxIter": 1, "maxDepth": 1, "seed": 1}, categories=["c"])
+    scores = {r["c"]: r["score"] for r in model.score(letters.select("c").distinct()).collect()}
+    high = {c for c, s in scores.items() if c and s > 0.5}
+    assert high == {"k0", "k3", "k8"}  # one split on sets of levels tells them apart
+    assert 0 < model.score(letters.select(F.lit("never seen").alias("c")).limit(1)).first()["score"] < 1
+    many = letters.selectExpr("y", "concat('v', id * 3) AS c").union(letters.selectExpr("y", "concat('w', id * 3) AS c"))
+    with pytest.raises(ValueError):
+        boosting.category_levels(many, ["c"])
 
 
 def test_folds_and_cv_table(data, trained):
     models, rounds = trained
     assert [m.fold for m in models] == [0, 1] and rounds.count() == 8
     summary = boosting.cv_summary(rounds).collect()
-    assert len(summary) == 4 and all(0.5 < r["mean_auc"] <= 1 for r in summary)
+    assert len(summary) == 4 and all(0.5 < r["mean_auc"] <= 1 and r["folds"] == 2 for r in summary)
     scored = boosting.out_of_fold(models, data)
     assert scored.count() == 600 and scored.select("id").distinct().count() == 600
 
@@ -86,7 +115,8 @@ def test_importances(data, trained):
 
 def test_stored_model_scores_alike(spark, data, trained):
     models, _ = trained
-    path = scratch_path(spark, "models")
-    models[1].save(path)
-    loaded = boosting.FoldModel(GBTClassificationModel.load(f"{path}/fold=1"), models[1].features, models[1].rounds, 1)
-    assert {r["id"]: r["score"] for r in loaded.score(data).collect()} == {r["id"]: r["score"] for r in models[1].score(data).collect()}
+    path, cut = scratch_path(spark, "models"), models[1].first_rounds(3)
+    cut.save(path)
+    loaded = boosting.FoldModel.load(spark, path, 1)
+    assert (loaded.rounds, loaded.features, loaded.fold) == (3, ["x", "z"], 1)
+    assert {r["id"]: r["score"] for r in loaded.score(data).collect()} == {r["id"]: r["score"] for r in cut.score(data).collect()}
