@@ -6,6 +6,7 @@ from featurekit.plans import (  # noqa: F401
     exploration,
     grouping,
     history,
+    numbered,
     rows,
     splitting,
     storage,
