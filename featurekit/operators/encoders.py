@@ -130,7 +130,8 @@ def target_mean_encode(
     """Add the label mean of the value among the rows selected by ``fit``; null for values not seen there."""
     known = df.where(fit)
     learnt = [
-        (c, *store(known_keys(known, [c]).groupBy(c).agg(F.avg(label).alias(f"{c}{suffix}")), [c])) for c in columns
+        (c, *store(known_keys(known, [c]).groupBy(c).agg(F.avg(label).alias(f"{c}{suffix}"), F.count(F.lit(1)).alias(WEIGHT)), [c]))
+        for c in columns
     ]
     for column, means, size in learnt:
         df = attach(df, means, column, size=size)
@@ -140,13 +141,14 @@ def target_mean_encode(
 def group_map(df: DataFrame, column: str, mapping: Mapping[str, str], name: str) -> DataFrame:
     """Add the group of a value from a fixed mapping; null when not listed."""
     table = df.sparkSession.createDataFrame(list(mapping.items()), f"{column} string, `{name}` string")
-    return attach(df, table, column, size=Size(len(mapping), 0, 0))
+    width = sum(len(k.encode()) + len(v.encode()) + 48 for k, v in mapping.items())
+    return attach(df, table, column, size=Size(len(mapping), width, 0))
 
 
 def null_rare(df: DataFrame, column: str, fit: Column, above: int) -> DataFrame:
     """Keep a value only if more than ``above`` rows of ``fit`` carry it; every other value becomes null."""
-    frequent = known_keys(df.where(fit), [column]).groupBy(column).agg(F.count(F.lit(1)).alias("__n"))
-    frequent = frequent.where(F.col("__n") > above).select(column, F.lit(True).alias("__keep"))
+    frequent = known_keys(df.where(fit), [column]).groupBy(column).agg(F.count(F.lit(1)).alias(WEIGHT))
+    frequent = frequent.where(F.col(WEIGHT) > above).select(column, F.lit(True).alias("__keep"), WEIGHT)
     return attach(df, frequent, column).withColumn(column, F.when(F.col("__keep"), F.col(column))).drop("__keep")
 
 
@@ -155,7 +157,7 @@ def bucket_rare(df: DataFrame, column: str, below: int, within: Sequence[str] =
     group = [*within, column]
     # At most one value in every ``below`` rows is frequent, so this is the shorter of the two lists.
     frequent = known_keys(df, [column]).groupBy(*group).agg(F.count(F.lit(1)).alias(WEIGHT))
-    frequent = frequent.where(F.col(WEIGHT) >= below).select(*group, F.lit(True).alias("__frequent"))
+    frequent = frequent.where(F.col(WEIGHT) >= below).select(*group, F.lit(True).alias("__frequent"), WEIGHT)
     rare = F.col("__frequent").isNull() & F.col(column).isNotNull()
     return attach(df, frequent, group).withColumn(
         column, F.when(rare, F.lit(other)).otherwise(F.col(column))

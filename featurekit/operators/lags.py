@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from featurekit.operators.groups import FUNCTIONS, group_stats, known_keys
 from featurekit.operators.lookup import WEIGHT, attach, store
 from featurekit.operators.ordering import ordinals
+from featurekit.session import materialize
 
 
 def key_lags(
@@ -22,9 +23,8 @@ def key_lags(
     """
     prefix = prefix or f"{key}_counts"
     names = [f"{prefix}__lag{n}" for n in lags]
-    rows = known_keys(df, [key, period])
-    counts = rows.groupBy(key, period).agg(F.count(F.lit(1)).alias("__n"))
-    periods, size = store(rows.groupBy(period).agg(F.count(F.lit(1)).alias("__total")), [period])
+    counts = materialize(known_keys(df, [key, period]).groupBy(key, period).agg(F.count(F.lit(1)).alias("__n")))
+    periods, size = store(counts.groupBy(period).agg(F.sum("__n").alias("__total")), [period])
     if share:
         measured = attach(counts, periods, period, size=size).withColumn("__value", F.col("__n") / F.col("__total"))
         zero = F.lit(0.0)

@@ -42,12 +42,19 @@ def ordinals(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
 
     ``order`` must end in a unique column for a repeatable result.
     """
-    placed, _ = _numbered(df, [*group, *order], name)
+    return counted_ordinals(df, order, group, name)[0]
+
+
+def counted_ordinals(
+    df: DataFrame, order: Sequence[str], group: Sequence[str] = (), name: str = "ordinal"
+) -> tuple[DataFrame, int]:
+    """:func:`ordinals` and the number of all rows, which are counted on the way."""
+    placed, size = _numbered(df, [*group, *order], name)
     if not group:
-        return placed
+        return placed, size.rows
     firsts = placed.groupBy(*group).agg(F.min(name).alias("__first"))
     located = attach(placed, firsts, list(group))
-    return located.withColumn(name, F.col(name) - F.col("__first")).drop("__first")
+    return located.withColumn(name, F.col(name) - F.col("__first")).drop("__first"), size.rows
 
 
 def running_sums(

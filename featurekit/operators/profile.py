@@ -13,7 +13,7 @@ from featurekit.operators.encoders import value_table
 from featurekit.operators.groups import crosstab_share, known_keys, sort_categories
 from featurekit.operators.lookup import attach
 from featurekit.operators.ordering import running_sums
-from featurekit.operators.sets import top_values
+from featurekit.operators.sets import ranked_values
 from featurekit.session import materialize
 
 
@@ -58,8 +58,10 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_value_report(df: DataFrame, columns: Sequence[str], n: int = 10) -> DataFrame:
     """``column, rank, value, n, ratio``: most frequent values with their share of rows rounded to two digits."""
-    total = max(df.count(), 1)
-    return top_values(df, columns, n).withColumn("ratio", F.round(F.col("n") / F.lit(total), 2))
+    # Null is a value in this table, so the rows of any one column add up to all rows.
+    values = materialize(value_table(df, columns))
+    total = values.where(F.col("column") == columns[0]).agg(F.sum("n")).first()[0] or 1
+    return ranked_values(values, n).withColumn("ratio", F.round(F.col("n") / F.lit(total), 2))
 
 
 def unique_values(df: DataFrame, column: str) -> DataFrame:
@@ -114,10 +116,11 @@ def quantile_edges(df: DataFrame, column: str, bins: int) -> list[float]:
     """
     x = F.col(column).cast("double")
     known = df.where(x.isNotNull() & ~F.isnan(x))
-    total = known.count()
-    if total == 0:
+    counts = materialize(known.groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0]
+    if not total:
         return []
-    ranked = running_sums(known.groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n")), ["value"], ["n"])
+    ranked = running_sums(counts, ["value"], ["n"])
     positions = [i * (total - 1) / bins for i in range(bins + 1)]
     wanted = sorted({math.floor(p) for p in positions} | {math.ceil(p) for p in positions})
     before = F.col("cum_n") - F.col("n")

@@ -52,7 +52,12 @@ def top_values(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     A first ranking inside parts of a column leaves at most ``n`` values per part, for any ``n``, so the second one
     never sees all values of a column.
     """
-    values = value_table(df, columns).where(F.col("value").isNotNull())
+    return ranked_values(value_table(df, columns), n)
+
+
+def ranked_values(values: DataFrame, n: int) -> DataFrame:
+    """:func:`top_values` of a table of counted values."""
+    values = values.where(F.col("value").isNotNull())
     order = [F.desc("n"), F.asc("value")]
     part = F.pmod(F.xxhash64("value"), F.lit(RANK_PARTS))
     inside = Window.partitionBy("column", "__part").orderBy(*order)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featurekit.operators.lookup import attach
-from featurekit.operators.ordering import ordinals
+from featurekit.operators.ordering import counted_ordinals, ordinals
 
 
 def shuffle_hash(key: str, seed: int) -> Column:
@@ -34,8 +34,7 @@ def stratified_kfold(df: DataFrame, key: str, label: str, k: int, seed: int = 42
 
 def time_series_folds(df: DataFrame, key: str, time: str, k: int) -> DataFrame:
     """``key, chunk``: k+1 consecutive chunks in time; fold i validates on chunk i and trains on all chunks before."""
-    placed = ordinals(df.select(key, time), [time, key], name="__o")
-    n = df.count()
+    placed, n = counted_ordinals(df.select(key, time), [time, key], name="__o")
     size = n // (k + 1)
     first = n - k * size
     chunk = F.when(F.col("__o") < first, 0).otherwise(F.floor((F.col("__o") - first) / F.lit(max(size, 1))) + 1)
@@ -52,8 +51,7 @@ def time_series_roles(chunks: DataFrame, k: int, last: int | None = None) -> Dat
 
 def ordered_kfold(df: DataFrame, key: str, time: str, k: int) -> DataFrame:
     """``key, fold``: k contiguous blocks in time order; the first ``n mod k`` blocks hold one row more."""
-    placed = ordinals(df.select(key, time), [time, key], name="__o")
-    n = df.count()
+    placed, n = counted_ordinals(df.select(key, time), [time, key], name="__o")
     size, larger = divmod(n, k)
     edge = larger * (size + 1)
     fold = F.when(F.col("__o") < edge, F.floor(F.col("__o") / F.lit(size + 1))).otherwise(
