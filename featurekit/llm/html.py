@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from featurekit.llm.common import sampled, small_batches
 
-PATH_CELLS, WORD_CELLS, FIGURES = 96, 32, 6
+PATH_CELLS, WORD_CELLS, FIGURES = 96, 32, 8
 HIDDEN = 16
 MAIN = 0.5
 
 # Bounds of the training sample: pages, and characters of a page that is looked at.
 TRAINING_PAGES = 240
 TRAINING_CHARS = 60_000
-LAYOUTS = 700
+LAYOUTS = 1000
 
 # Elements by what they do to the text, and words of tags, classes, ids and roles by what they hold.
 BLOCKS = frozenset("address article aside blockquote body button canvas caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav ol optgroup option p pre search section select summary table tbody td textarea tfoot th thead title tr ul".split())
@@ -160,27 +160,34 @@ def _cells(name: str, cells: int) -> tuple[int, int]:
 def vectors(blocks: list[Block]) -> np.ndarray:
     """One input row per block: tag path, words, figures."""
     out = np.zeros((len(blocks), PATH_CELLS + WORD_CELLS + FIGURES), np.float32)
-    path_cells: dict[tuple, np.ndarray] = {}
+    path_cells: dict[tuple, tuple[np.ndarray, float, float]] = {}
     for i, block in enumerate(blocks):
-        row = path_cells.get(block.path)
-        if row is None:
-            row = np.zeros(PATH_CELLS, np.float32)
-            for name in set(block.path):
-                a, b = _cells(name, PATH_CELLS)
-                row[a] += 1.0
-                row[b] -= 1.0
-            path_cells[block.path] = row
-        out[i, :PATH_CELLS] = row
+        known = path_cells.get(block.path)
+        if known is None:
+            known = path_cells[block.path] = _path_vector(block.path)
+        out[i, :PATH_CELLS] = known[0]
         words = block.text.lower().split()
         held = np.bincount([_cells(w, WORD_CELLS)[0] for w in words] if len(words) < 5000 else _counted(words), minlength=WORD_CELLS)
         out[i, PATH_CELLS : PATH_CELLS + WORD_CELLS] = held / max(1, len(words))
         out[i, PATH_CELLS + WORD_CELLS :] = (
             np.log1p(len(block.text)) / 8, block.linked, len(block.path) / 16, i / len(blocks),
-            block.text[-1] in ".!?:;\"'”…", np.log1p(len(words)) / 8,
+            block.text[-1] in ".!?:;\"'”…", np.log1p(len(words)) / 8, known[1], known[2],
         )
     return out
 
 
+def _path_vector(path: tuple[str, ...]) -> tuple[np.ndarray, float, float]:
+    """Hashed names of a path, what the innermost telling name says, and how many names speak against main text."""
+    row = np.zeros(PATH_CELLS, np.float32)
+    for name in set(path):
+        a, b = _cells(name, PATH_CELLS)
+        row[a] += 1.0
+        row[b] -= 1.0
+    bare = [n.strip("<>") for n in reversed(path) if n != "<body>"]
+    told = next((-1.0 if n in NOT_MAIN else 1.0 for n in bare if n in NOT_MAIN or n in IS_MAIN), 0.0)
+    return row, told, min(3, sum(n in NOT_MAIN for n in bare)) / 2
+
+
 def _counted(words: list[str]) -> list[int]:
     return [zlib.crc32(w.encode("utf-8", "replace")) % WORD_CELLS for w in words]
 
@@ -328,22 +335,24 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
     def extra():
         kind = rng.randrange(9)
         if kind == 0:
-            return rng.choice((f"<nav>{links()}</nav>", f"<div {named(['menu', 'navbar', 'main-nav', 'topmenu', 'breadcrumb'])}>{links()}</div>"))
+            return rng.choice((f"<nav>{links()}</nav>", f"<div {named(['menu', 'navbar', 'main-nav', 'topmenu', 'breadcrumb', 'site-navigation', 'navLinks'])}>{links()}</div>"))
         if kind == 1:
-            return rng.choice((f"<header><div>{other}{few()}</div>{links()}</header>", f"<div {named(['header', 'site-header', 'masthead', 'top-banner'])}>{paragraph(other)}</div>"))
+            return rng.choice((f"<header><div>{other}{few()}</div>{links()}</header>", f"<div {named(['header', 'site-header', 'masthead', 'top-banner', 'pageHeader', 'topbar'])}>{paragraph(other)}</div>"))
         if kind == 2:
-            return rng.choice((f"<footer>{other}&copy; {text()}</footer>", f"<div {named(['footer', 'page-footer', 'copyright', 'site-footer'])}>{paragraph(other)}</div>"))
+            return rng.choice((f"<footer>{other}&copy; {text()}</footer>", f"<div {named(['footer', 'page-footer', 'copyright', 'site-footer', 'footerLinks', 'legal'])}>{paragraph(other)}</div>"))
         if kind == 3:
-            return rng.choice((f"<aside>{paragraph(other)}{links()}</aside>", f"<div {named(['sidebar', 'side-bar', 'widget', 'right-rail', 'related-posts'])}><h3>{other}{few()}</h3>{paragraph(other)}{links()}</div>"))
+            return rng.choice((f"<aside>{paragraph(other)}{links()}</aside>", f"<div {named(['sidebar', 'side-bar', 'widget', 'right-rail', 'related-posts', 'sidebarRight', 'recommended', 'more-stories-side'])}><h3>{other}{few()}</h3>{paragraph(other)}{links()}</div>"))
         if kind == 4:
-            return f"<div {named(['cookie-notice', 'consent', 'gdpr-banner', 'alert', 'notice', 'popup', 'modal'])}>{paragraph(other)}<button>{other}{few()}</button></div>"
+            return f"<div {named(['cookie-notice', 'consent', 'gdpr-banner', 'alert', 'notice', 'popup', 'modal', 'cookieBanner', 'site-notice', 'overlay'])}>{paragraph(other)}<button>{other}{few()}</button></div>"
+        if kind == 5 and rng.random() < 0.2:
+            return f"<table><tr><td {named(['sidebar', 'nav', 'ad', 'menu', 'footer'])}>{paragraph(other)}</td></tr></table>"
         if kind == 5:
-            return f"<{(t := rng.choice(('div', 'section', 'aside')))} {named(['ad', 'ads', 'advert', 'advertisement', 'sponsored', 'promo', 'ad-slot', 'banner-ad'])}>{other}{text()}</{t}>"
+            return f"<{(t := rng.choice(('div', 'section', 'aside')))} {named(['ad', 'ads', 'advert', 'advertisement', 'sponsored', 'promo', 'ad-slot', 'banner-ad', 'adBox', 'promotion'])}>{other}{text()}</{t}>"
         if kind == 6:
-            return f"<form {named(['search', 'login', 'newsletter-form', 'signup', 'contact'])}><label>{other}{few()}</label><p>{other}{text()}</p><select><option>{other}{few()}<option>{other}{few()}</select><button>{other}{few()}</button></form>"
+            return f"<form {named(['search', 'login', 'newsletter-form', 'signup', 'contact', 'c-3', 'f12'])}><label>{other}{few()}</label><p>{other}{text()}</p><select><option>{other}{few()}<option>{other}{few()}</select><button>{other}{few()}</button></form>"
         if kind == 7:
-            return f"<{(t := rng.choice(('div', 'section', 'ol')))} {named(['comments', 'comment-list', 'user-comments', 'disqus', 'replies', 'discussion'])}>" + "".join(
-                f'<div class="comment">{paragraph(other)}</div>' for _ in range(rng.randint(1, 5))) + f"</{t}>"
+            return f"<{(t := rng.choice(('div', 'section', 'ol')))} {named(['comments', 'comment-list', 'user-comments', 'disqus', 'replies', 'discussion', 'readerComments', 'comment-thread'])}>" + "".join(
+                f'<{(c := rng.choice(("div", "li", "article")))} class="comment">{paragraph(other)}</{c}>' for _ in range(rng.randint(1, 5))) + f"</{t}>"
         return f"<div {named(['share', 'social', 'share-buttons', 'tags', 'pagination'])}>{links()}</div>"
 
     def main():
@@ -352,15 +361,20 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
             parts.append(f"<h1>{m}{few()}</h1>")
         for _ in range(rng.randint(1, 12)):
             kind = rng.random()
-            if kind < 0.75:
+            if kind < 0.6:
                 parts.append(paragraph(m))
-            elif kind < 0.82:
+            elif kind < 0.65:
+                parts.append(rng.choice((
+                    f"<dl><dt>{m}{few()}</dt><dd>{m}{few()}</dd></dl>", f"<pre>{m}{few()}</pre>", f"<div>{m}{text()}</div>",
+                    f"<figure><img><figcaption>{m}{few()}</figcaption></figure>", f"<h3>{m}{few()}</h3>", f"<details><summary>{m}{few()}</summary>{m}{text()}</details>",
+                )))
+            elif kind < 0.7:
                 parts.append("<ul>" + "".join(f"<li>{m}{few()}</li>" for _ in range(rng.randint(1, 5))) + "</ul>")
-            elif kind < 0.88:
+            elif kind < 0.75:
                 parts.append(f"<h2>{m}{few()}</h2>")
-            elif kind < 0.92:
+            elif kind < 0.79:
                 parts.append(f"<blockquote>{paragraph(m)}</blockquote>")
-            elif kind < 0.95:
+            elif kind < 0.83:
                 parts.append("<table>" + "".join(f"<tr><td>{m}{few()}</td><td>{m}{few()}</td></tr>" for _ in range(rng.randint(1, 3))) + "</table>")
             else:
                 parts.append(extra())
@@ -369,6 +383,9 @@ def made_page(rng: random.Random, texts: list[str]) -> str:
             f"<article>{inner}</article>", f"<main>{inner}</main>", f"<main><article>{inner}</article></main>",
             f"<article>{inner}</article>", f"<div {named(['content', 'post', 'post-content', 'entry', 'entry-content', 'article-body', 'story', 'main-text', 'main'])}>{inner}</div>",
             f"<section {named(['article', 'content', 'story-body'])}>{inner}</section>",
+            # Layouts that say nothing about the main text: what is not named otherwise is main.
+            inner, f"<div>{inner}</div>", f"<div {named(['c1', 'x-23', 'col', 'row', 'inner', 'box'])}>{inner}</div>",
+            f"<table><tr><td>{inner}</td></tr></table>",
         ))
 
     before, after = [extra() for _ in range(rng.randint(0, 4))], [extra() for _ in range(rng.randint(0, 4))]
