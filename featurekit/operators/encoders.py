@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit.functions.text import as_text, joined_text
-from featurekit.operators.groups import known_keys
-from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns, store
+from featurekit.operators.groups import key_statistics, known_keys
+from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns
 from featurekit.operators.ordering import dense_codes, ordinals
 from featurekit.session import materialize_by
 
@@ -128,13 +128,8 @@ def target_mean_encode(
     df: DataFrame, columns: Sequence[str], label: str, fit: Column, suffix: str = "__target_mean"
 ) -> DataFrame:
     """Add the label mean of the value among the rows selected by ``fit``; null for values not seen there."""
-    known = df.where(fit)
-    learnt = [
-        (c, *store(known_keys(known, [c]).groupBy(c).agg(F.avg(label).alias(f"{c}{suffix}"), F.count(F.lit(1)).alias(WEIGHT)), [c]))
-        for c in columns
-    ]
-    for column, means, size in learnt:
-        df = attach(df, means, column, size=size)
+    for column, _, means, size in key_statistics(df.where(fit), columns, [F.avg(label).alias("__mean")]):
+        df = attach(df, means.withColumnRenamed("__mean", f"{column}{suffix}"), column, size=size)
     return df
 
 

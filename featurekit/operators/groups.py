@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit.functions.numeric import nan_to_null
-from featurekit.operators.lookup import WEIGHT, attach, store
-from featurekit.session import materialize
+from featurekit.operators.lookup import WEIGHT, Size, attach, measure, store
+from featurekit.session import materialize, materialize_by
 
 FUNCTIONS = {
     "min": F.min,
@@ -63,18 +63,35 @@ def join_back(df: DataFrame, stats: DataFrame, group: Sequence[str] | str, how:
     return joined.drop("__found", *(group if drop else ()))
 
 
+def key_statistics(
+    df: DataFrame, keys: Sequence[str], stats: Sequence[Column], within: Sequence[str] = ()
+) -> Iterator[tuple[str, list[str], DataFrame, Size]]:
+    """Per key: its name, its group columns, a stored dictionary of ``stats`` by them, and that dictionary's size.
+
+    One pass over ``df`` serves all keys. A null key belongs to no group.
+    """
+    if len(keys) == 1:
+        group = [*within, keys[0]]
+        counted = known_keys(df, [keys[0]]).groupBy(*group).agg(*stats, F.count(F.lit(1)).alias(WEIGHT))
+        yield keys[0], group, *store(counted, group)
+        return
+    # Every row takes part once per key, as the copy in which all other keys are null.
+    sets = [[*within, k] for k in keys]
+    marks = [F.grouping(k).alias(f"__off_{i}") for i, k in enumerate(keys)]
+    counted = df.groupingSets(sets, *within, *keys).agg(*stats, F.count(F.lit(1)).alias(WEIGHT), *marks)
+    number = F.coalesce(*[F.when(F.col(f"__off_{i}") == 0, i) for i in range(len(keys))])
+    stored = materialize_by(counted.withColumn("__set", number).drop(*[f"__off_{i}" for i in range(len(keys))]), "__set")
+    for i, key in enumerate(keys):
+        part = known_keys(stored.where(F.col("__set") == i), [key]).drop("__set", *[k for k in keys if k != key])
+        yield key, sets[i], part, measure(part, sets[i])
+
+
 def group_ratios(
     df: DataFrame, values: Sequence[str], keys: Sequence[str], within: Sequence[str] = (), functions: Sequence[str] = ("mean", "std")
 ) -> DataFrame:
     """Add ``{value}_to_{function}_{key}`` = value over the group's statistic; null for a null key or a zero statistic."""
-    learnt = []
-    for key in keys:
-        group = [*within, key]
-        stats = known_keys(df, [key]).groupBy(*group).agg(
-            *[FUNCTIONS[f](_known(df, v)).alias(f"__{v}_{f}") for v in values for f in functions], F.count(F.lit(1)).alias(WEIGHT)
-        )
-        learnt.append((key, group, *store(stats, group)))
-    for key, group, stats, size in learnt:
+    stats = [FUNCTIONS[f](_known(df, v)).alias(f"__{v}_{f}") for v in values for f in functions]
+    for key, group, stats, size in key_statistics(df, keys, stats, within):
         df = attach(df, stats, group, size=size)
         df = df.withColumns(
             {f"{v}_to_{f}_{key}": F.try_divide(F.col(v), F.col(f"__{v}_{f}")) for v in values for f in functions}

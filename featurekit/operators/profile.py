@@ -17,6 +17,10 @@ from featurekit.operators.sets import ranked_values
 from featurekit.session import materialize
 
 
+# Slices of a column's range that are counted before any of its values are put in order.
+CELLS = 4096
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, nulls`` from one pass."""
     wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(columns)])
@@ -111,20 +115,32 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
 def quantile_edges(df: DataFrame, column: str, bins: int) -> list[float]:
     """Exact, linearly interpolated quantile edges without repeats.
 
-    Distinct values are counted and ranked across the cluster; only the order statistics next to the
-    ``bins + 1`` edges come back.
+    Distinct values are counted first, then the counts of ``CELLS`` equal slices of their range. Only the few slices
+    that hold a wanted order statistic are put in order; only those statistics come back.
     """
     x = F.col(column).cast("double")
     known = df.where(x.isNotNull() & ~F.isnan(x))
     counts = materialize(known.groupBy(x.alias("value")).agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n")).first()[0]
+    finite = F.when(F.abs("value") < float("inf"), F.col("value"))
+    total, low, high = counts.agg(F.sum("n"), F.min(finite), F.max(finite)).first()
     if not total:
         return []
-    ranked = running_sums(counts, ["value"], ["n"])
+    cell = F.lit(0)
+    if low is not None and low < high:
+        inside = F.floor((F.col("value") - F.lit(low)) / F.lit(high - low) * CELLS).cast("int")
+        cell = F.when(F.col("value") <= low, 0).when(F.col("value") >= high, CELLS - 1).otherwise(F.least(inside, F.lit(CELLS - 1)))
+    placed = counts.withColumn("cell", cell)
     positions = [i * (total - 1) / bins for i in range(bins + 1)]
     wanted = sorted({math.floor(p) for p in positions} | {math.ceil(p) for p in positions})
-    before = F.col("cum_n") - F.col("n")
-    hits = F.filter(F.array(*[F.lit(w).cast("bigint") for w in wanted]), lambda w: (w >= before) & (w < F.col("cum_n")))
+    starts, before = {}, 0
+    for row in placed.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").collect():  # at most CELLS rows
+        if any(before <= w < before + row["n"] for w in wanted):
+            starts[row["cell"]] = before
+        before += row["n"]
+    ranked = running_sums(placed.where(F.col("cell").isin(list(starts))), ["value"], ["n"], ["cell"])
+    first = F.element_at(F.create_map(*[F.lit(x) for pair in starts.items() for x in pair]), F.col("cell"))
+    low_rank, high_rank = first + F.col("cum_n") - F.col("n"), first + F.col("cum_n")
+    hits = F.filter(F.array(*[F.lit(w).cast("bigint") for w in wanted]), lambda w: (w >= low_rank) & (w < high_rank))
     found = {r["rank"]: r["value"] for r in ranked.select("value", F.explode(hits).alias("rank")).collect()}
     edges = []
     for p in positions:
