@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featurekit.functions import values
 from featurekit.functions.values import LATEST_BROWSERS
 from featurekit.operators.lookup import with_row_id
 from featurekit.operators.splits import shuffle_hash
@@ -223,3 +224,67 @@ def f217_target_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_target_sql(["D9", "C2", "ProductCD"]))
 def f219_target_lags_of_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _target_lags(spark, sf_dir, ["D9", "C2", "ProductCD"])
+
+
+# The whole-table encoding job: columns of every kind it knows, drawn from the key like those above.
+_FLAGS = ["M1", "M2", "M3", "M5", "M6", "M7", "M8", "M9", "id_35", "id_36", "id_37", "id_38"]
+_FOUND = ["id_12", "id_16", "id_27", "id_29"]
+_KINDS = {
+    **dict.fromkeys(_FLAGS, values.TRUE_FALSE), **dict.fromkeys(_FOUND, values.FOUND), "id_15": values.NEW_FOUND_UNKNOWN,
+    "id_28": values.NEW_FOUND, "id_23": values.PROXY, "DeviceType": values.DEVICE_TYPE,
+}
+_LEVELS = {
+    **{c: [*kind, "elsewhere"] for c, kind in _KINDS.items()}, "M4": ["M0", "M1", "M2"], "card6": ["debit", "credit", "charge", "other"],
+    "id_33": ["1920x1080", "0x0", "2220x1080"], "id_34": ["match_status:2", "match_status:0", "match_status:-1"],
+    "P_emaildomain": ["gmail.com", "att.net", "aol.com", "live.fr"], "R_emaildomain": ["gmail.com", "cox.net"],
+    "DeviceInfo": ["Windows", "rv:57.0", "iOS Device", "__NA", "SM-G610M"],
+}
+_COUNTS = [c for c in jobs.FREQUENCY_ENCODED if c not in ("card1", "addr1", "dist1", "dist2", "P_emaildomain", "R_emaildomain")]
+
+
+def _level_sql(column: str, at: int) -> str:
+    levels = _LEVELS[column]
+    cases = " ".join(f"WHEN {i} THEN '{level}'" for i, level in enumerate(levels))
+    return f"CASE WHEN (o_orderkey + {at}) * 3 % 7 <> 0 THEN CASE (o_orderkey * {at + 5} + {at}) % {len(levels)} {cases} END END AS {column}"
+
+
+_WIDE = ", ".join([
+    "o_orderkey AS TransactionID", "dataset", "y AS isFraud", "o_custkey AS card1", "priority AS card4", "c_mktsegment AS ProductCD",
+    "c_nationkey AS addr1", *[_level_sql(c, i) for i, c in enumerate(_LEVELS)],
+    *[f"CASE WHEN (o_orderkey + {i}) * 3 % 5 <> 0 THEN o_orderkey * {i + 7} % {3 + i % 29} END AS {c}"
+      for i, c in enumerate([*_COUNTS, "dist1", "dist2"])],
+])
+
+
+def _encoded_sql() -> str:
+    count = "CASE WHEN {c} IS NOT NULL THEN count(*) OVER (PARTITION BY {c}) END"
+    mapped = [f"CAST(CASE {c} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in kind.items()) + f" END AS INTEGER) AS {c}" for c, kind in _KINDS.items()]
+    texts = ["id_33", "DeviceInfo", "P_emaildomain", "R_emaildomain"]
+    return f"""WITH {TX}, raw AS (SELECT {_WIDE} FROM tx),
+      counted AS (SELECT *, {', '.join(f"{count.format(c=c)} AS {c}_n" for c in jobs.REPLACED_BY_FREQUENCY)},
+        CASE WHEN count(*) FILTER (dataset = 'train') OVER (PARTITION BY card1) > 10 THEN card1 END AS card1_kept,
+        coalesce(NULLIF(id_33, '0x0'), 'unseen_before_label') AS screen,
+        string_split(coalesce(id_33, '0x0'), 'x') AS sizes, TRY_CAST(string_split(id_34, ':')[2] AS INTEGER) AS status FROM raw),
+      kept AS (SELECT * REPLACE (card1_kept AS card1) FROM counted)
+      SELECT TransactionID, dataset, isFraud, card1, addr1, dist1, dist2, {', '.join(_COUNTS)},
+        {', '.join(f'{c}_n AS {c}' for c in jobs.REPLACED_BY_FREQUENCY)},
+        {', '.join(f'''CASE WHEN {c}_n IS NOT NULL THEN round(avg(CASE WHEN dataset = 'train' THEN isFraud END) OVER (PARTITION BY {c}_n), 9) END
+          AS f000__{c}__target_mean''' for c in ('ProductCD', 'M4'))},
+        {', '.join(mapped)}, CASE WHEN status <> 0 THEN status END AS id_34,
+        CAST(sizes[1] AS INTEGER) AS id_33_0, CAST(sizes[2] AS INTEGER) AS id_33_1,
+        {', '.join(f"{count.format(c=c)} AS f000__{c}__fq_enc" for c in jobs.FREQUENCY_ENCODED)},
+        {', '.join(f"dense_rank() OVER (ORDER BY coalesce({'screen' if c == 'id_33' else c}, '__NA__')) - 1 AS {c}" for c in texts)} FROM kept"""
+
+
+@query(_encoded_sql())
+def encoded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns of the whole-table encoding job."""
+    rows = transactions(spark, sf_dir, customer=True)
+    rows = with_row_id(rows.selectExpr(*split_list(_WIDE)), "TransactionID")
+    made = jobs.encoded_table(rows)
+    return made.withColumns({c: rounded(c, 9) for c in made.columns if c.endswith("__target_mean")})
+
+
+def split_list(select: str) -> list[str]:
+    """The items of a select list whose commas are all followed by a space."""
+    return select.split(", ")
