@@ -28,7 +28,8 @@ def words(text: str | Column) -> Column:
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
-def _starts(length: int) -> Column:
+def _starts(length: Column | int) -> Column:
+    """The positions in ``w`` at which a run of ``length`` words starts."""
     return F.when(F.size("w") >= length, F.sequence(F.lit(1), F.size("w") - length + 1)).otherwise(F.array().cast("array<int>"))
 
 
@@ -39,16 +40,18 @@ def shingle_hashes(length: int) -> Column:
 
 
 def shingle_texts(length: Column | int) -> Column:
-    return F.transform(
-        F.when(F.size("w") >= length, F.sequence(F.lit(1), F.size("w") - length + 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.concat_ws(" ", F.slice("w", i, length)),
-    )
+    return F.transform(_starts(length), lambda i: F.concat_ws(" ", F.slice("w", i, length)))
 
 
 def _up_to(hashes: Column, top: int) -> Column:
     return F.filter(hashes, lambda h: h <= F.lit(top))
 
 
+def _item_set() -> Column:
+    """The items of a group; they are wrapped, because collected sets leave plain nulls out."""
+    return F.collect_set(F.struct("item_id"))
+
+
 def item_sketches(items: DataFrame, shingle_words: int, containment: float) -> DataFrame:
     """One row per item that has words: item_id, length (words per shingle), texts, partition and sketch (k smallest hashes).
 
@@ -97,22 +100,14 @@ def contained_items(
     probes = (
         docs.select(*row_key, words("text").alias("w")).select("doc_id", "text_hash", F.explode(sketch).alias("hash"))
     )
-    kept = (
-        listed.select("item_id", F.explode("sketch").alias("hash")).groupBy("hash").agg(F.collect_set("item_id").alias("ids"),
-        F.max(F.col("item_id").isNull()).alias("unnamed"))
-    )
-    met = attach(probes, kept, "hash").where(F.col("ids").isNotNull())
-    named = F.when(F.col("unnamed"), F.concat("ids", F.array(F.lit(None).cast(items.schema["item_id"].dataType)))).otherwise(F.col("ids"))
-    candidates = materialize(
-        met.select("doc_id", "text_hash", F.explode(named).alias("item_id")).distinct()
-    )
+    kept = listed.select("item_id", F.explode("sketch").alias("hash")).groupBy("hash").agg(_item_set().alias("items"))
+    met = attach(probes, kept, "hash").where(F.col("items").isNotNull())
+    candidates = materialize(met.select("doc_id", "text_hash", F.explode("items.item_id").alias("item_id")).distinct())
 
-    per_doc = candidates.groupBy("doc_id", "text_hash").agg(
-        F.collect_set("item_id").alias("__ids"), F.max(F.col("item_id").isNull()).alias("__unnamed"))
-    found = attach(docs.select("text", *row_key), per_doc, ["doc_id", "text_hash"]).where(F.col("__ids").isNotNull())
-    named = F.when(F.col("__unnamed"), F.concat("__ids", F.array(F.lit(None).cast(items.schema["item_id"].dataType)))).otherwise(F.col("__ids"))
+    per_doc = candidates.groupBy("doc_id", "text_hash").agg(_item_set().alias("items"))
+    found = attach(docs.select("text", *row_key), per_doc, ["doc_id", "text_hash"]).where(F.col("items").isNotNull())
     pairs = found.dropDuplicates(["doc_id", "text_hash"]).select(
-        "doc_id", "text_hash", words("text").alias("w"), F.explode(named).alias("item_id")
+        "doc_id", "text_hash", words("text").alias("w"), F.explode("items.item_id").alias("item_id")
     )
     known = attach(pairs, listed.select("item_id", "texts", "length", "needed"), "item_id")
     shared = F.size(F.array_intersect(shingle_texts(F.col("length")), F.col("texts")))
