@@ -23,14 +23,8 @@ def test_query_matches_sql(spark, sf_dir, connection, name):
     assert compare(QUERIES[name](spark, sf_dir), ORACLES[name], connection) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_training_query_has_rows(spark, sf_dir, name):
-    result = QUERIES[name](spark, sf_dir)
-    rows = result.collect()
-    assert rows
-    for column in ("auc", "mean_auc", "score", "score_mean"):
-        if column in result.columns:
-            assert all(0.0 <= r[column] <= 1.0 for r in rows)
+def test_every_feature_query_has_a_statement():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
