@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from featurekit.llm.common import small_batches
 from featurekit.llm.components import components
+from featurekit.llm.near_copies import keep_one_per_group  # noqa: F401  (what the pipeline keeps)
 from featurekit.operators.lookup import WEIGHT, attach
 from featurekit.session import materialize
 
@@ -254,14 +255,3 @@ def near_duplicate_groups(docs: DataFrame, max_distance: int = MAX_DISTANCE, shi
     found = attach(rows, named.withColumn("grouped", F.lit(True)), "fp")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), component.alias("component_id"))
-
-
-def keep_one_per_group(docs: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """Drop near-duplicates: of every group the row with the smallest doc_id stays, once, with all its columns.
-
-    Rows without a doc_id cannot be named and stay.
-    """
-    groups = near_duplicate_groups(docs, max_distance)
-    first = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where(F.col("doc_id").isNull())).select(docs.columns)
