@@ -1,10 +1,10 @@
 """Benchmark decontamination: MinHash containment search, verified on exact word shingles.
 
 Containment of a short item in a long document says nothing about their Jaccard similarity, so the two sides are
-sketched differently. Items are partitioned by size. An item with n distinct shingles keeps its bottom-k MinHash
+sketched differently. An item with n distinct shingles keeps its bottom-k MinHash
 sketch, its k smallest hashes, where k is one more than the shingles that may be missing at the wanted containment:
-a document that contains enough of the item must hold at least one of these k. A document's sketch for a size
-partition is what it has below the largest hash that any item of the partition keeps. So nothing can be missed,
+a document that contains enough of the item must hold at least one of these k. A document's sketch is what
+it has below the largest hash that any item with shingles of that length keeps; size partitions are merged into it. So nothing can be missed,
 documents of any length are searched whole, and only hashes below that bound leave the scan.
 """
 
@@ -90,7 +90,7 @@ def contained_items(
     bounds = listed.groupBy("length", "partition").agg(F.max(F.array_max("sketch")).alias("top")).collect()  # sizes are few
     row_key = ["doc_id", F.xxhash64("text").alias("text_hash")]
 
-    # One sketch per partition, read in one pass: a document's hash is kept while it is below some partition's bound.
+    # The partitions' bounds are merged to the loosest per length: sketches below smaller bounds lie inside that one.
     tops: dict[int, int] = {}
     for b in bounds:
         tops[b["length"]] = max(b["top"], tops.get(b["length"], b["top"]))
