@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from featurekit.llm.common import small_batches
 from featurekit.llm.components import components
-from featurekit.llm.near_copies import keep_one_per_group  # noqa: F401  (what the pipeline keeps)
 from featurekit.operators.lookup import WEIGHT, attach
 from featurekit.session import materialize
 
@@ -255,3 +254,26 @@ def near_duplicate_groups(docs: DataFrame, max_distance: int = MAX_DISTANCE, shi
     found = attach(rows, named.withColumn("grouped", F.lit(True)), "fp")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), component.alias("component_id"))
+
+
+def keep_one_per_group(docs: DataFrame, max_distance: int = MAX_DISTANCE, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """Drop near-duplicates: of every group of linked fingerprints the row with the smallest doc_id stays, once, with all its columns.
+
+    Rows are told apart by doc_id and text; of several texts under the smallest doc_id of a group the one with the
+    smallest hash stays. Rows without a doc_id cannot be named and stay. No rows give no rows.
+    """
+    rows = with_fingerprint(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text"), shingle_words=shingle_words)
+    units = materialize(
+        rows.groupBy("fp", "doc_id", F.xxhash64("text").alias("text_hash")).agg(F.count(F.lit(1)).alias("repeats")))
+    distinct = materialize(units.groupBy("fp").agg(F.count(F.lit(1)).alias("texts")))
+    rooted = components(hamming_links(distinct.select("fp"), max_distance)).withColumnRenamed("node", "fp")
+    first = F.min(F.struct("doc_id", "text_hash", "repeats")).alias("first")
+    # Any text that is its own group needs no look-up: one key per unlinked fingerprint.
+    named = distinct.join(rooted, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.col("texts").alias(WEIGHT))
+    kept = attach(units, named, "fp").groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__text"), F.col("first.repeats").alias("__repeats"))
+    keyed = docs.select("*", F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__text"))
+    found = attach(keyed.where(F.col("__id").isNotNull()), kept, ["__id", "__text"])
+    once = found.where(F.col("__repeats") == 1)
+    repeated = found.where(F.col("__repeats") > 1).dropDuplicates(["__id", "__text"])
+    return once.unionByName(repeated).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
