@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featurekit.llm import decontaminate, langid, mixing, near_copies, secret_scan
+from featurekit.llm import decontaminate, langid, mixing, secret_scan, simhash
 from featurekit.llm.common import table
 from featurekit.session import scratch_path
 
@@ -18,8 +18,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of texts that share 80 % of their five-word shingles, the one with the smallest id."""
-    return near_copies.keep_one_per_group(docs)
+    """Keep one document of each group of linked SimHash fingerprints, the one with the smallest id."""
+    return simhash.keep_one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
