@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import decontaminate, html, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
+from featurekit.llm import conversations, decontaminate, html, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
 from featurekit.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,9 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return html.extract(pages, html.learn(pages))
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation after planted damage."""
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
