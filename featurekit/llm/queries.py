@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.llm import conversations, decontaminate, html, kneser_ney, langid, mixing, secret_scan, simhash, token_counts, topk, toxicity
+from featurekit.llm import (
+    conversations, decontaminate, html, kneser_ney, langid, mixing, resample, secret_scan, simhash, token_counts, topk, toxicity,
+)
 from featurekit.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,6 +124,13 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn(pages))
 
 
+@query()
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents of 20 words and more, drawn towards the words of the benchmark."""
+    ranked = resample.importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query()
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cheapest repair of every conversation after planted damage."""
