@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featurekit.llm import (
-    conversations, decontaminate, html, kneser_ney, langid, mixing, resample, secret_scan, simhash, token_counts, topk, toxicity,
+    conversations, decontaminate, fingerprints, html, kneser_ney, langid, mixing, resample, secret_scan, simhash, token_counts, topk,
+    toxicity,
 )
 from featurekit.llm.common import bucket_of, table
 
@@ -124,6 +125,18 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.learn(pages))
 
 
+@query()
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text, and how alike they are."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op11_radius_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every document whose id is divisible by 20: how many fingerprints lie within three bits of its own, and whose."""
+    return fingerprints.near_documents(table(spark, sf_dir, "documents"), F.col("doc_id") % 20 == 0)
+
+
 @query()
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of the documents of 20 words and more, drawn towards the words of the benchmark."""
