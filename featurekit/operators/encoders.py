@@ -24,9 +24,16 @@ def _plain_text(column: str, data_type: T.DataType) -> Column:
     return value.cast("string")
 
 
+def _plain_expression(column: str, data_type: T.DataType) -> str:
+    """:func:`_plain_text` in SQL, which is planned much faster for hundreds of columns."""
+    zero = {T.FloatType: " + 0.0F", T.DoubleType: " + 0.0D"}.get(type(data_type), "")
+    return f"CAST(`{column}`{zero} AS STRING)"
+
+
 def value_table(df: DataFrame, columns: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
     """Rows per (column, value) for many columns from one shuffle; values are text and null is a value."""
-    cells = F.array(*[_plain_text(c, df.schema[c].dataType) for c in columns])
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cells = F.expr(f"array({', '.join(_plain_expression(c, kinds[c]) for c in columns)})")
     # Cells are grouped by the number of their column, which is cheaper to shuffle than its name.
     counted = (
         df.select(*within, F.posexplode(cells).alias("__at", "value"))

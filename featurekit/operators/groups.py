@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from itertools import combinations
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featurekit.functions.numeric import nan_to_null
 from featurekit.operators.lookup import WEIGHT, Size, attach, measure, store
+from featurekit.operators.moments import column_moments
 from featurekit.session import materialize, materialize_by
 
 FUNCTIONS = {
@@ -217,18 +220,59 @@ def resample_months(df: DataFrame, moment: str, columns: Sequence[str]) -> DataF
     )
 
 
-def correlations(df: DataFrame, columns: Sequence[str], against: str | None = None) -> DataFrame:
-    """Pearson correlation of column pairs (or of all columns with one), over rows where both are present."""
-    pairs = [(c, against) for c in columns if c != against] if against else list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(_finite(a), _finite(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("r")) for i, (a, b) in enumerate(pairs)])
-    return wide.select(F.explode(cells).alias("x")).select("x.a", "x.b", "x.r")
+# Numbers that one pass may hold per task for the products of column pairs; wider tables take several passes.
+PAIR_CELLS = 8_000_000
+
 
+def correlations(df: DataFrame, columns: Sequence[str], against: str | None = None) -> DataFrame:
+    """Pearson correlation ``a, b, r`` of column pairs (or of all columns with one), over rows where both are present.
 
-def _finite(column: str) -> Column:
-    """The number, null for NaN: one NaN must not spoil a statistic of all rows."""
-    x = F.col(column).cast("double")
-    return F.when(~F.isnan(x), x)
+    Tasks add up counts, sums and products of all pairs at once, as blocks of a matrix; Spark deals the blocks out by their
+    first column and adds them. Columns are shifted and scaled first, so large numbers lose no digits. ``r`` is null
+    where fewer than two rows have both or one of the two does not vary there.
+    """
+    firsts, seconds = ([c for c in columns if c != against], [against]) if against else (list(columns[:-1]), list(columns))
+    names = list(dict.fromkeys([*firsts, *seconds]))
+    numbers = df.selectExpr(*[f"CAST(`{c}` AS DOUBLE) AS c{i}" for i, c in enumerate(names)])
+    moments = {r["at"]: (r["mean"] or 0.0, r["std"] or 1.0) for r in column_moments(numbers).collect()}  # one row per column
+    shift, scale = (np.array([moments[i][k] for i in range(len(names))]) for k in (0, 1))
+    right = [names.index(c) for c in seconds]
+    step = max(1, PAIR_CELLS // (6 * len(right)))
+    parts = [_pair_products(numbers, shift, scale, names, [names.index(c) for c in firsts[i : i + step]], right, not against) for i in range(0, len(firsts), step)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _pair_products(
+    numbers: DataFrame, shift: np.ndarray, scale: np.ndarray, names: list[str], left: list[int], right: list[int], upward: bool
+) -> DataFrame:
+    def multiplied(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(left), len(right)))
+        for batch in batches:
+            x = (batch.to_numpy(np.float64, na_value=np.nan) - shift) / scale
+            there = ~np.isnan(x)
+            x, there = np.where(there, x, 0.0), there.astype(np.float64)
+            a, b, ha, hb = x[:, left], x[:, right], there[:, left], there[:, right]
+            total += np.stack([ha.T @ hb, a.T @ hb, ha.T @ b, (a * a).T @ hb, ha.T @ (b * b), a.T @ b])
+        yield pd.DataFrame({"a": left, "sums": [np.ascontiguousarray(total[:, i]).tobytes() for i in range(len(left))]})
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for a, packed in zip(batch["a"], batch["sums"]):
+                found = np.frombuffer(packed, np.float64).reshape(6, len(right)) if packed is not None else np.zeros((6, len(right)))
+                sums[a] = sums[a] + found if a in sums else found
+        for a, (n, sa, sb, qa, qb, p) in sums.items():
+            va, vb = n * qa - sa * sa, n * qb - sb * sb
+            known = (n > 1) & (va > 1e-12 * n * qa) & (vb > 1e-12 * n * qb)
+            r = np.full(len(right), np.nan)
+            r[known] = ((n * p - sa * sb)[known] / np.sqrt(va[known] * vb[known])).clip(-1.0, 1.0)
+            keep = [i for i, b in enumerate(right) if not upward or b > a]
+            yield pd.DataFrame({"a": names[a], "b": [names[right[i]] for i in keep], "r": r[keep]})
+
+    # A table without any task still has all its pairs.
+    least = numbers.sparkSession.createDataFrame([(a, None) for a in left], "a int, sums binary")
+    products = numbers.mapInPandas(multiplied, "a int, sums binary").union(least).repartition("a")
+    return products.mapInPandas(added, "a string, b string, r double").withColumn("r", nan_to_null("r"))
 
 
 def category_target_table(

@@ -56,6 +56,10 @@ SHARE_LAGS = [0, 1, 2, 3, 4, 5, 6]
 TARGET_LAGS = [1, 2, 3, 6]
 STATISTICS = ["min", "mean", "max", "std"]
 
+# Key columns of the label statistics f218 and f219.
+DAY_KEYS = [f"D{i}" for i in range(1, 16)]
+ALL_KEYS = [*[f"C{i}" for i in range(1, 15)], *DAY_KEYS, *[f"M{i}" for i in range(1, 10)]]
+
 
 def joined_table(
     train_transaction: DataFrame, train_identity: DataFrame, test_transaction: DataFrame, test_identity: DataFrame

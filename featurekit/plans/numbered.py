@@ -226,6 +226,56 @@ def f219_target_lags_of_many_keys(spark: SparkSession, sf_dir: str) -> DataFrame
     return _target_lags(spark, sf_dir, ["D9", "C2", "ProductCD"])
 
 
+# Columns of the label statistics over many keys: drawn from the card, so that a card's key values come again in later months.
+def _keyed_sql(column: str, at: int) -> str:
+    value = f"o_custkey * {at + 3} % {2 + at % 5}"
+    value = f"concat('M',CAST({value} AS VARCHAR(20)))" if column.startswith("M") else value
+    return f"CASE WHEN o_custkey % 60 <> {at} THEN {value} END AS {column}"
+
+
+_KEYED = ", ".join(_keyed_sql(c, i) for i, c in enumerate(jobs.ALL_KEYS))
+
+
+def _keyed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = transactions(spark, sf_dir)
+    exact = F.timestamp_diff("SECOND", F.lit("1995-01-01").cast("timestamp_ntz"), F.col("o_orderdate").cast("timestamp_ntz"))
+    drawn = split_list(_KEYED.replace("VARCHAR(20)", "STRING"))
+    shaped = rows.selectExpr("o_orderkey AS TransactionID", "dataset", "y AS isFraud", "o_orderdate", "o_orderkey", *drawn)
+    timed = shaped.withColumn("TransactionDT", exact + F.col("o_orderkey") * 37 % 86400)
+    return with_row_id(timed.drop("o_orderdate", "o_orderkey"), "TransactionID")
+
+
+def _keyed_lags_sql(keys: list[str]) -> str:
+    """Key values of a row are told apart by their joined text, which no other values give: they hold no comma."""
+    joins, cells = [], []
+    for n in jobs.TARGET_LAGS:
+        joins.append(f"LEFT JOIN a a{n} ON a{n}.DT_M = tr.DT_M - {n} AND a{n}.keys = tr.keys")
+        cells.append(f"round(CAST(a{n}.m AS FLOAT), 5) AS isFraud_mean__lag{n}, round(CAST(a{n}.s AS FLOAT), 5) AS isFraud_std__lag{n}")
+    text = " || ',' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)  # null as soon as one key is
+    return f"""WITH {TX}, raw AS (SELECT o_orderkey AS TransactionID, dataset, y AS isFraud, {_KEYED},
+        TIMESTAMP '2017-12-01' + to_seconds(datediff('second', TIMESTAMP '1995-01-01', o_orderdate) + o_orderkey * 37 % 86400) AS moment FROM tx),
+      tr AS (SELECT TransactionID, dataset, isFraud, {text} AS keys, CAST((year(moment) - 2017) * 12 + month(moment) AS INTEGER) AS DT_M FROM raw),
+      a AS (SELECT DT_M, keys, avg(isFraud) AS m, stddev_samp(isFraud) AS s FROM tr WHERE dataset = 'train' AND keys IS NOT NULL GROUP BY ALL)
+      SELECT TransactionID, dataset, {', '.join(cells)} FROM tr {' '.join(joins)}"""
+
+
+def _keyed_lags(spark: SparkSession, sf_dir: str, keys: list[str]) -> DataFrame:
+    made = _expect(jobs.target_lags(_keyed_transactions(spark, sf_dir), keys), 8)
+    return made.select("TransactionID", "dataset", *[F.round(c, 5).alias(c) for c in made.columns[2:]])
+
+
+@query(_keyed_lags_sql(jobs.DAY_KEYS))
+def f218_target_lags_of_day_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label statistics over all fifteen day columns."""
+    return _keyed_lags(spark, sf_dir, jobs.DAY_KEYS)
+
+
+@query(_keyed_lags_sql(jobs.ALL_KEYS))
+def f219_target_lags_of_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label statistics over all 38 key columns."""
+    return _keyed_lags(spark, sf_dir, jobs.ALL_KEYS)
+
+
 # The whole-table encoding job: columns of every kind it knows, drawn from the key like those above.
 _FLAGS = ["M1", "M2", "M3", "M5", "M6", "M7", "M8", "M9", "id_35", "id_36", "id_37", "id_38"]
 _FOUND = ["id_12", "id_16", "id_27", "id_29"]

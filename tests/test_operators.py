@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 from statistics import stdev
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from featurekit.operators import columns, encoders, groups, lags, profile, sets, splits
+from featurekit.sources.files import clean_numbers
 
 
 @pytest.fixture(scope="module")
@@ -265,3 +268,33 @@ def test_category_tables_can_be_sorted(tx):
     table = groups.category_target_table(train, test, "card", "y", sort="freq").collect()
     assert [r["card"] for r in table] == [10, 30, 20, 40]
     assert (table[0]["target_mean"], table[0]["freq_train"], table[3]["freq_test"]) == (0.5, 2 / 6, 0.5)
+
+
+def test_correlations_and_profile_of_a_wide_table(spark):
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame(rng.normal(size=(400, 120)) * 50 + 1e6, columns=[f"k{i}" for i in range(120)]).mask(rng.random((400, 120)) < 0.2)
+    pdf["same"], pdf["none"] = 3.0, np.nan
+    df = clean_numbers(spark.createDataFrame(pdf).repartition(3))
+    found = {(r.a, r.b): r.r for r in groups.correlations(df, list(pdf.columns)).collect()}
+    expected = pdf.corr(min_periods=2)
+    assert len(found) == 122 * 121 // 2
+    for (a, b), r in found.items():
+        assert r == pytest.approx(expected.loc[a, b], abs=1e-9) if a[0] == b[0] == "k" else r is None
+    one = {(r.a, r.b): r.r for r in groups.correlations(df, list(pdf.columns), against="k5").collect()}
+    assert len(one) == 121 and one["k7", "k5"] == pytest.approx(found["k5", "k7"])
+    profiled = {r["column"]: r for r in profile.column_profile(df, list(pdf.columns)).collect()}
+    for c in ("k0", "k77"):
+        r = profiled[c]
+        assert (r.n, r.nulls, r.uniques) == (400, pdf[c].isna().sum(), pdf[c].nunique())
+        assert (r["mean"], r["std"], r["min"], r["max"]) == pytest.approx((pdf[c].mean(), pdf[c].std(), pdf[c].min(), pdf[c].max()))
+    assert profiled["none"]["mean"] is None and profiled["same"]["std"] == 0 and profiled["none"].nulls == 400
+    assert profile.column_profile(df.limit(0), ["k0"]).first().n == 0
+    assert [tuple(r) for r in groups.correlations(df.limit(0), ["k0", "k1"]).collect()] == [("k0", "k1", None)]
+
+
+def test_correlations_in_blocks(spark, monkeypatch):
+    df = spark.range(60).selectExpr("id AS a", "id * id AS b", "hash(id) AS c", "hash(id, 2) AS d")
+    whole = groups.correlations(df, ["a", "b", "c", "d"]).collect()
+    monkeypatch.setattr(groups, "PAIR_CELLS", 24)
+    parts = groups.correlations(df, ["a", "b", "c", "d"]).collect()
+    assert [r.r for r in sorted(parts)] == pytest.approx([r.r for r in sorted(whole)])

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zipfile
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featurekit.session import checkpoint_root, scratch_path
 from featurekit.sources import files
@@ -75,6 +78,51 @@ def test_csv_turns_nan_into_null(spark, tmp_path):
         files.read_csv(spark, "t.csv.zip")
 
 
+def test_zip_archives_equal_the_plain_files(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("s", T.StringType())])
+    (tmp_path / "plain").mkdir()
+    parts = ["id,x,s\n" + "".join(f"{i},{'NaN' if i % 7 == 0 else i / 4},\"a,{i}\"\n" for i in range(at, at + 15_000)) for at in (0, 20_000)]
+    with zipfile.ZipFile(tmp_path / "t.csv.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        for i, text in enumerate(parts):
+            (tmp_path / "plain" / f"{i}.csv").write_text(text)
+            archive.writestr(f"{i}.csv", text)
+        archive.writestr("notes.txt", "id,x,s\n99,1,no")
+    plain = files.read_csv(spark, str(tmp_path / "plain"), schema)
+    zipped = files.read_csv(spark, str(tmp_path / "t.csv.zip"), schema)
+    assert zipped.schema == plain.schema and zipped.count() == 30_000
+    assert zipped.exceptAll(plain).isEmpty() and plain.exceptAll(zipped).isEmpty()
+    broken = bytearray((tmp_path / "t.csv.zip").read_bytes())
+    broken[200:260] = bytes(60)
+    (tmp_path / "broken.zip").write_bytes(broken)
+    with pytest.raises(Exception, match="BadZipFile|zlib|CRC"):
+        files.read_csv(spark, str(tmp_path / "broken.zip"), schema).count()
+
+
+def test_bucketed_tables_join_without_moving_rows(spark, tmp_path):
+    base = spark.range(500).select(F.col("id").alias("TransactionID"), F.when(F.col("id") % 3 == 0, "test").otherwise("train").alias("dataset"))
+    plain, store = FeatureCatalog(spark, str(tmp_path / "p")), FeatureCatalog(spark, str(tmp_path / "b"), buckets=4)
+    for i in range(10):
+        made = base.where(F.col("TransactionID") % (i + 2) != 0).withColumn("v", F.col("TransactionID") * i)
+        for catalog in (plain, store):
+            catalog.save(made, f"f{i:03d}", "job")
+    kept = store.save_base(base)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for table, moved in ((kept, 0), (base, 1)):
+            joined = store.attach(table)
+            assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == moved
+            assert joined.exceptAll(plain.attach(base).select(joined.columns)).isEmpty() and joined.count() == 500
+        # A session that did not write the tables reads them by the catalogue's settings.
+        for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("features_")]:
+            spark.sql(f"DROP TABLE {name}")
+        again = FeatureCatalog(spark, str(tmp_path / "b"), buckets=4).attach(base)
+        assert again._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert again.exceptAll(plain.attach(base).select(again.columns)).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_schemas():
     transaction = files.transaction_schema()
     assert transaction["card1"].dataType.simpleString() == "int" and transaction["V339"].dataType.simpleString() == "double"
