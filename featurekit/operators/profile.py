@@ -47,7 +47,7 @@ def column_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
     # One row per profiled column on both sides.
     joined = stats.join(F.broadcast(uniques), "column", "left").withColumn("uniques", F.coalesce("uniques", F.lit(0)))
-    percent = {f"{p}_pct": F.col(p) / F.col("n") * 100 for p in ("nulls", "uniques", "zeros")}
+    percent = {f"{p}_pct": F.try_divide(F.col(p), F.col("n")) * 100 for p in ("nulls", "uniques", "zeros")}
     return joined.withColumns(percent)
 
 
