@@ -111,6 +111,30 @@ def f103_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.drop(*[f"{a}__{b}" for a, b in jobs.PAIRS if (a, b) not in _PAIRS])
 
 
+_WHOLE = {c: f"CAST(round({c} * 100) AS BIGINT)" for c in ("id_02", "dist1")}
+
+
+@query(f"""WITH {TR}, whole AS (SELECT * REPLACE ({', '.join(f'{e} AS {c}' for c, e in _WHOLE.items())}) FROM tr)
+  SELECT TransactionID, dataset, {', '.join(_pair_sql(a, b) for a, b in jobs.PAIRS)} FROM whole""")
+def f103_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The codes of all ten pairs; the two columns with a fraction are counted in hundredths, which all engines write alike."""
+    rows = card_transactions(spark, sf_dir).withColumns({c: F.round(F.col(c) * 100).cast("bigint") for c in _WHOLE})
+    made = _expect(jobs.interactions_and_counts(rows), 21)
+    return made.select("TransactionID", "dataset", *[f"{a}__{b}" for a, b in jobs.PAIRS])
+
+
+_USEFUL = ["id_36", "id_01", "id_31"]
+
+
+@query(f"""WITH {TR} SELECT TransactionID, dataset, {_DECIMAL}, count(*) OVER (PARTITION BY card1) AS card1_count_full, {_WEEKDAY}, {_HOUR},
+    count(*) OVER (PARTITION BY id_36) AS id_36_count_full,
+    {', '.join(f"count(*) OVER (PARTITION BY dataset, {c}) AS {c}_count_dist" for c in jobs.COUNTED_PER_DATASET if c in _USEFUL)} FROM tr""")
+def f104_useful_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same job where a list of useful columns limits what is counted."""
+    made = _expect(jobs.interactions_and_counts(card_transactions(spark, sf_dir), _USEFUL), 18)
+    return made.drop(*[f"{a}__{b}" for a, b in jobs.PAIRS])
+
+
 @query(f"""WITH {TR} SELECT TransactionID, dataset, {', '.join(f"count(*) OVER (PARTITION BY {c}) AS {c}_CE" for c in _COUNTED)} FROM tr""")
 def f201_count_encodings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expect(jobs.count_encodings(card_transactions(spark, sf_dir), _COUNTED), len(_COUNTED))
