@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.operators import encoders
+from featurekit.operators import encoders, stored
 from featurekit.plans.registry import TX, query, rounded, table, transactions
+from featurekit.session import scratch_path
 
 MANY = [
     "card", "priority", "o_orderstatus", "c_nationkey", "c_mktsegment", "c_acctbal", "period", "dataset", "o_totalprice", "y",
@@ -84,3 +85,28 @@ def target_mean_enc(spark: SparkSession, sf_dir: str) -> DataFrame:
         transactions(spark, sf_dir), ["card", "priority"], "y", F.col("dataset") == "train"
     )
     return encoded.select("o_orderkey", rounded("card__target_mean", 9), rounded("priority__target_mean", 9))
+
+
+_STORED = ["o_custkey", "priority", "c_nationkey"]
+
+
+def _stored_sql() -> str:
+    fits = ", ".join(
+        f"f_{c} AS (SELECT {c} AS v, count(*) AS n, avg(y) AS m FROM tx WHERE dataset = 'train' GROUP BY ALL)" for c in _STORED)
+    cells = ", ".join(
+        f"coalesce(f_{c}.n, 0) AS {c}_count, round(coalesce(f_{c}.n / (SELECT count(*) FROM tx WHERE dataset = 'train')::DOUBLE, 0), 9) AS {c}_frequency,"
+        f" round(f_{c}.m, 9) AS {c}_target_mean" for c in _STORED)
+    joins = " ".join(f"LEFT JOIN f_{c} ON f_{c}.v IS NOT DISTINCT FROM tx.{c}" for c in _STORED)
+    return f"WITH {TX}, {fits} SELECT o_orderkey, {cells} FROM tx {joins} WHERE dataset = 'test'"
+
+
+@query(_stored_sql())
+def stored_encoders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoders fitted on two halves of the train rows, merged, stored, loaded again and applied to the test rows."""
+    rows, path = transactions(spark, sf_dir, customer=True), scratch_path(spark, "encoders")
+    halves = [rows.where((F.col("dataset") == "train") & (F.col("o_orderkey") % 2 == i)) for i in (0, 1)]
+    stored.save(stored.merge(*[stored.fit_values(h, _STORED, "y") for h in halves]), path, "1")
+    test = rows.where(F.col("dataset") == "test")
+    made = stored.encode(test, stored.load(spark, path, "1"), _STORED, stored.KINDS)
+    names = [f"{c}_{k}" for c in _STORED for k in stored.KINDS]
+    return made.select("o_orderkey", *[n if n.endswith("_count") else rounded(n, 9) for n in names])
