@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.operators import groups, profile, sets
+from featurekit.operators import groups, profile, sets, sketches
 from featurekit.plans.registry import TX, query, rounded, table, transactions
+from featurekit.session import scratch_path
 
 PROFILED = ["card", "priority", "o_totalprice", "c_nationkey", "y"]
 NUMBERS = ["card", "o_totalprice", "c_nationkey", "y"]
@@ -165,3 +169,24 @@ def grid_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interaction_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = sets.interaction_table(transactions(spark, sf_dir), "card", "y", F.col("dataset") == "train")
     return rates.withColumn("label_rate", rounded("label_rate", 9))
+
+
+_SKETCHED = ["o_totalprice", "cents", "o_custkey"]
+
+
+@query(f"""WITH {TX} {' UNION ALL '.join(f"""SELECT '{c}' AS "column", count({c}) AS n, TRUE AS ranks_near, TRUE AS uniques_near FROM tx WHERE period <= 60""" for c in _SKETCHED)}""")
+def merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches per month, stored and merged over the first sixty: their quantiles and distinct counts beside the exact ones."""
+    rows, path = transactions(spark, sf_dir), scratch_path(spark, "sketches")
+    names = _SKETCHED
+    sketches.column_sketches(rows, names, names, ["period"]).write.parquet(path)
+    range_ = F.col("period") <= 60
+    found = sketches.distinct_counts(sketches.quantiles(sketches.merged(spark.read.parquet(path).where(range_)), sketches.SHARES))
+    held = rows.where(range_).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in names])).alias("v")).select("v.*")
+    # The share of rows up to each approximate quantile; one row per column is joined.
+    ranks = held.join(F.broadcast(found), "column").groupBy("column", "n", "uniques").agg(
+        *[F.avg((F.col("x") <= F.col("values")[i]).cast("double")).alias(f"r{i}") for i in range(len(sketches.SHARES))],
+        F.count_distinct("x").alias("exact"))
+    near = [F.abs(F.col(f"r{i}") - s) < 0.01 for i, s in enumerate(sketches.SHARES)]
+    return ranks.select("column", "n", reduce(and_, near).alias("ranks_near"), (F.abs(F.col("uniques") / F.col("exact") - 1) < 0.05).alias("uniques_near"))
