@@ -1,106 +1,152 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The n-grams are of characters, mapped to an alphabet of 64 symbols, so a model of order four has at most 64^4 cells
-and may be broadcast whatever the size of the corpus. Its counts are taken over all trusted text: every task counts
-its own n-grams, Spark adds the partial counts up in shards, and joins on the context shards give the number of
-continuations. Thresholds are quantiles of the trusted documents' perplexity, per language.
+The n-grams are of characters of any script; the model stays in tables that Spark shards by n-gram, so it may grow with
+the corpus. Tasks put texts together in blocks and list the different n-grams of each block with their trusted counts.
+The counts are added up in shards and joined, by context and by suffix, to the probability of every n-gram that occurs;
+joins bring these back to the blocks, where they are added up per document. A block moves each of its n-grams once
+however often it holds it, and blocks lie in buckets, so that texts are not shuffled. Thresholds are quantiles per
+language of the perplexity of trusted documents that the model has not seen.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featurekit.llm.common import small_batches
+from featurekit.llm.common import bucket_of, small_batches
 from featurekit.operators.lookup import attach
-from featurekit.session import materialize
+from featurekit.session import materialize, scratch_path
 
-ORDER = 4
-SYMBOLS = 64
-LOW_QUANTILE, HIGH_QUANTILE = 0.0, 0.995
+ORDER = 4  # two pairs of characters, see Ranks
+LOW_QUANTILE, HIGH_QUANTILE = 0.005, 0.995
 ACCURACY = 10_000
 
-_PIECE = 1 << 20
+# Trusted documents whose crc32 modulo FOLDS is this one set the thresholds, the others the model.
+FOLDS, THRESHOLD_FOLD = 5, 0
+MIN_HELD_OUT = 50  # with fewer of them in a language an outer quantile would be no more than their extreme
 
-# Symbols: 0 the edge of a text, 1 white space, 2 digits, 3 other letters, 4-29 a-z, then single characters, last the rest.
-_EDGE, _SPACE, _DIGIT, _LETTER, _A = 0, 1, 2, 3, 4
-_SINGLE = ".,;:!?'\"()-/àáâäçèéêëíîïñóôöùúûüß"
-_REST = _A + 26 + len(_SINGLE)
-assert _REST < SYMBOLS
-
-
-class Alphabet:
-    """Code points to symbols; upper case counts as lower case."""
-
-    @cached_property
-    def _table(self) -> np.ndarray:
-        table = np.full(0x10000, _REST, np.uint8)
-        for code in range(0x10000):
-            c = chr(code)
-            low = c.lower()
-            if c.isspace():
-                table[code] = _SPACE
-            elif c.isdigit():
-                table[code] = _DIGIT
-            elif len(low) == 1 and "a" <= low <= "z":
-                table[code] = _A + ord(low) - 97
-            elif low in _SINGLE:
-                table[code] = _A + 26 + _SINGLE.index(low)
-            elif c.isalpha():
-                table[code] = _LETTER
-        return table
-
-    def encode(self, text: str | None) -> np.ndarray:
-        """The symbols of a text, with ``ORDER`` - 1 edges before it and one after it; null and empty texts are edges only."""
-        codes = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
-        body = self._table[np.minimum(codes, 0xFFFF)]
-        return np.concatenate([np.zeros(ORDER - 1, np.uint8), body, np.zeros(1, np.uint8)])
-
-
-def grams(symbols: np.ndarray) -> np.ndarray:
-    """Every n-gram of the model's order as one number, its last symbol in the lowest digits."""
-    n = len(symbols) - ORDER + 1
-    out = np.zeros(n, np.int32)
-    for k in range(ORDER):
-        out = out * SYMBOLS + symbols[k : k + n]
-    return out
-
-
-def gram_counts(texts: DataFrame) -> DataFrame:
-    """(gram, count) over all rows of ``texts`` (text)."""
-    small_batches(texts.sparkSession)
-    alphabet = Alphabet()
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SYMBOLS**ORDER, np.int64)  # 128 MB at most, shared by all batches of a task
-        for rows in batches:
-            for text in rows["text"]:
-                if text:
-                    for at in range(0, len(text), _PIECE):
-                        # A piece starts with the symbols that its first n-gram still needs.
-                        piece = alphabet.encode(text[max(0, at - ORDER + 1) : at + _PIECE])
-                        piece = piece[ORDER - 1 if at else 0 : None if at + _PIECE >= len(text) else -1]
-                        seen, n = np.unique(grams(piece), return_counts=True)
-                        total[seen] += n
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": found.astype(np.int32), "n": total[found]})
-
-    parts = texts.select("text").mapInPandas(count, "gram int, n long")
-    return parts.groupBy("gram").agg(F.sum("n").alias("n"))
+# Before, and once after, every text stands a character that no text may hold; in a text it, and NUL, are unknown ones.
+EDGE = "￿"
+_UNKNOWN = 0xFFFD
+
+BLOCK = 4_000_000  # characters
+_PIECE = 1 << 20
+_DENSE = 1 << 25
+
+# One piece of a text: which row it is of, and how many characters, those that its first n-gram needs included.
+_PIECES = "pieces array<struct<row:long,doc_id:long,lang:string,trusted:boolean,fitted:boolean,length:int>>"
+
+
+def pieces(text: str | None) -> Iterator[np.ndarray]:
+    """The code points of a lower-cased text with its edges, cut so that every n-gram lies in exactly one piece."""
+    codes = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), np.uint32)
+    codes = np.where((codes == 0) | (codes == ord(EDGE)), _UNKNOWN, codes).astype(np.uint32)
+    edge = np.full(ORDER - 1, ord(EDGE), np.uint32)
+    whole = np.concatenate([edge, codes, edge[:1]])
+    for at in range(0, len(whole) - ORDER + 1, _PIECE):
+        yield whole[at : at + _PIECE + ORDER - 1]
+
+
+def _ranked(keys: np.ndarray, space: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, ascending, and the position of every key among them; keys lie below ``space``."""
+    if space > _DENSE:
+        return np.unique(keys, return_inverse=True)
+    seen = np.zeros(space, bool)
+    seen[keys] = True
+    found = np.flatnonzero(seen)
+    position = np.empty(space, np.int32)
+    position[found] = np.arange(len(found), dtype=np.int32)
+    return found, position[keys]
+
+
+class Ranks:
+    """The different n-grams of a block of pieces, in order, and the position among them of every n-gram."""
+
+    def __init__(self, codes: np.ndarray, lengths: np.ndarray):
+        alphabet, symbols = _ranked(codes.astype(np.int64), 0x110000)
+        pairs, pair = _ranked(symbols[:-1].astype(np.int64) * len(alphabet) + symbols[1:], len(alphabet) ** 2)
+        keys = pair[:-2].astype(np.int64) * len(pairs) + pair[2:]
+        inside = np.ones(len(codes), bool)  # n-grams that start at the end of a piece would reach into the next
+        ends = np.cumsum(lengths)
+        for k in range(1, ORDER):
+            inside[ends - k] = False
+        found, self.positions = _ranked(keys[inside[: len(keys)]], len(pairs) ** 2)
+        self.counts = lengths - (ORDER - 1)  # n-grams per piece
+        first, last = pairs[found // len(pairs)], pairs[found % len(pairs)]
+        n = len(alphabet)
+        self._points = alphabet[np.stack([first // n, first % n, last // n, last % n], axis=1)].astype("<u4")
+
+    def grams(self) -> list[str]:
+        return np.ascontiguousarray(self._points).view(f"<U{ORDER}").ravel().tolist()
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """Texts in blocks: block, payload, pieces, grams (the different n-grams) and counts (theirs in fitted rows).
+
+    ``rows`` has doc_id, text, lang, trusted and fitted. The table lies in buckets by block in the shared folder.
+    """
+    spark = rows.sparkSession
+    small_batches(spark)
+
+    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get().partitionId() << 33
+        row, block, held, about, size = task, task, [], [], 0
+
+        def whole() -> pd.DataFrame:
+            lengths = np.array([len(p) for p in held])
+            codes = np.concatenate(held)
+            ranks = Ranks(codes, lengths)
+            grams = ranks.grams()
+            fitted = np.repeat(np.array([a["fitted"] for a in about]), ranks.counts)
+            counts = np.bincount(ranks.positions[fitted], minlength=len(grams)).astype(np.int32)
+            payload = zstandard.compress(codes.tobytes().decode("utf-32-le").encode(), 3)
+            return pd.DataFrame({"block": [block], "payload": [payload], "pieces": [about], "grams": [grams], "counts": [counts]})
+
+        for batch in batches:
+            ids = batch["doc_id"].astype("Int64")
+            for doc_id, text, lang, trusted, fitted in zip(ids, batch["text"], batch["lang"], batch["trusted"], batch["fitted"]):
+                for piece in pieces(text):
+                    held.append(piece)
+                    about.append({"row": row, "doc_id": None if doc_id is pd.NA else int(doc_id), "lang": lang,
+                                  "trusted": bool(trusted), "fitted": bool(fitted), "length": len(piece)})
+                    size += len(piece)
+                    if size >= BLOCK:
+                        yield whole()
+                        block, held, about, size = block + 1, [], [], 0
+                row += 1
+        if held:
+            yield whole()
+
+    schema = f"block long, payload binary, {_PIECES}, grams array<string>, counts array<int>"
+    chosen = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                         F.col("lang").cast("string").alias("lang"), "trusted", "fitted")
+    name = f"blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A task writes a file per bucket it has a block for, so there are never more files than blocks.
+    (chosen.mapInPandas(build, schema).write.option("path", scratch_path(spark, name))
+     .bucketBy(buckets, "block").format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def gram_counts(stored: DataFrame) -> DataFrame:
+    """(gram, n) over the fitted rows of all blocks."""
+    each = stored.select(F.explode(F.arrays_zip("grams", "counts")).alias("g")).where("g.counts > 0")
+    return each.groupBy(F.col("g.grams").alias("gram")).agg(F.sum("g.counts").alias("n"))
 
 
 def continuation_tables(counts: DataFrame) -> list[tuple[int, DataFrame]]:
     """For every order from the highest down: (length, rows (gram, n)), n being counts at the top and below it the
-    number of different symbols that precede the n-gram."""
+    number of different characters that precede the n-gram."""
     tables = [(ORDER, counts)]
     for length in range(ORDER - 1, 0, -1):
-        longer = tables[-1][1]
-        shorter = longer.select((F.col("gram") % SYMBOLS**length).cast("int").alias("gram"))
+        shorter = tables[-1][1].select(F.expr("substring(gram, 2)").alias("gram"))
         tables.append((length, materialize(shorter.groupBy("gram").agg(F.count(F.lit(1)).alias("n")))))
     return tables
 
@@ -117,87 +163,95 @@ def _discounts(row) -> tuple[float, float, float]:
     return min(max(d1, 0.0), 1.0), min(max(d2, 0.0), 2.0), min(max(d3, 0.0), 3.0)
 
 
-def fit(trusted: DataFrame) -> np.ndarray:
-    """Natural log-probability of the last symbol after the others, for every cell of the model.
+def probabilities(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, p): the probability of the last character after the others for different n-grams (gram), under ``counts``.
 
     Per order the counts are joined, by context, with the context's total and its numbers of continuations seen once,
     twice and more often; these give the discounted probability and the weight of the next lower order. The lowest
-    order is interpolated with the uniform distribution. No text at all gives the uniform distribution.
+    order is interpolated with the uniform distribution over the model's characters and one for all unknown ones.
+    Without counts everything is an unknown character and has probability 1. A context is followed by no more different
+    n-grams than there are characters, which bounds the rows per key of every join.
     """
-    tables = continuation_tables(materialize(gram_counts(trusted)))
-    below = np.full(SYMBOLS, 1.0 / SYMBOLS)
-    for length, counts in reversed(tables):
-        d1, d2, d3 = _discounts(counts.agg(*[F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]).first())
-        keyed = counts.withColumn("context", F.floor(F.col("gram") / SYMBOLS).cast("int"))
-        contexts = keyed.groupBy("context").agg(
-            F.sum("n").alias("total"), F.count_if(F.col("n") == 1).alias("once"),
-            F.count_if(F.col("n") == 2).alias("twice"), F.count_if(F.col("n") > 2).alias("more"),
-        )
+    asked = [grams]
+    for _ in range(ORDER - 1):
+        asked.append(materialize(asked[-1].select(F.expr("substring(gram, 2)").alias("gram")).distinct()))
+    below = None
+    for (length, table), wanted in zip(reversed(continuation_tables(counts)), reversed(asked)):
+        ones = [F.count_if(F.col("n") == i).alias(f"n{i}") for i in (1, 2, 3, 4)]
+        row = table.agg(*ones, F.count(F.lit(1)).alias("size")).first()
+        d1, d2, d3 = _discounts(row)
+        keyed = table.withColumn("context", F.substring("gram", 1, length - 1))
+        rest = (d1 * F.count_if(F.col("n") == 1) + d2 * F.count_if(F.col("n") == 2) + d3 * F.count_if(F.col("n") > 2)) / F.sum("n")
+        contexts = keyed.groupBy("context").agg(F.sum("n").alias("total"), rest.alias("rest"))
         discount = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        rest = (d1 * F.col("once") + d2 * F.col("twice") + d3 * F.col("more")) / F.col("total")
-        rows = keyed.join(contexts, "context").select("gram", "context", ((F.col("n") - discount) / F.col("total")).alias("p"), rest.alias("rest"))
-        found = rows.toPandas()  # at most SYMBOLS ** length rows
-        # An unseen context passes all its weight on to the next lower order.
-        kind = np.float32 if length == ORDER else np.float64  # the last level is the model, and by far the largest
-        weight = np.ones(SYMBOLS ** (length - 1), kind)
-        weight[found["context"].to_numpy()] = found["rest"].to_numpy()
-        below = below.astype(kind)
-        level = (weight.reshape(-1, SYMBOLS ** max(0, length - 2), 1) * below.reshape(1, -1, SYMBOLS)).ravel() if length > 1 else weight[0] * below
-        level[found["gram"].to_numpy()] += found["p"].to_numpy().astype(kind)
-        below = level
-        del found, level
-    np.maximum(below, 1e-12, out=below)
-    return np.log(below, out=below)
-
-
-def perplexities(docs: DataFrame, model: np.ndarray) -> DataFrame:
-    """Add symbols (characters and the end of the text) and perplexity to every row of ``docs`` (text).
-
-    Null and empty texts consist of their end only. Columns of these two names are replaced.
-    """
-    small_batches(docs.sparkSession)
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # SYMBOLS ** ORDER cells of four bytes: 64 MB
-    alphabet = Alphabet()
-
-    @F.pandas_udf("symbols long, perplexity double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cells = shipped.value
-        for texts in batches:
-            out = []
-            for text in texts:
-                total, n, size = 0.0, 0, len(text or "")
-                for at in range(0, max(size, 1), _PIECE):
-                    piece = alphabet.encode((text or "")[max(0, at - ORDER + 1) : at + _PIECE])
-                    found = grams(piece[ORDER - 1 if at else 0 : None if at + _PIECE >= size else -1])
-                    total += float(cells[found].sum(dtype=np.float64))
-                    n += len(found)
-                out.append((n, float(np.exp(-total / n))))
-            yield pd.DataFrame(out, columns=["symbols", "perplexity"])
-
-    base = docs.drop("symbols", "perplexity")
-    return base.withColumn("__judged", judge(F.col("text").cast("string"))).select(
-        *base.columns, F.col("__judged.symbols").alias("symbols"), F.col("__judged.perplexity").alias("perplexity"))
+        own = keyed.join(contexts.drop("rest"), "context").select("gram", ((F.col("n") - discount) / F.col("total")).alias("own"))
+        found = wanted.join(own, "gram", "left")
+        if below is None:  # the one context of single characters is the empty one
+            whole = contexts.select("rest").first()
+            weight, lower = F.lit(whole["rest"] if whole else 1.0), F.lit(1.0 / (row["size"] + 1))
+        else:
+            found = found.withColumn("context", F.substring("gram", 1, length - 1)).withColumn("suffix", F.expr("substring(gram, 2)"))
+            found = found.join(contexts.drop("total"), "context", "left").join(below, "suffix")
+            weight, lower = F.coalesce("rest", F.lit(1.0)), F.col("below")
+        level = found.select("gram", (F.coalesce("own", F.lit(0.0)) + weight * lower).alias("p"))
+        below = level.select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
+    return level
+
+
+def perplexities(stored: DataFrame) -> DataFrame:
+    """One row per row of the blocks: doc_id, lang, trusted, fitted, symbols (characters and the end), perplexity."""
+    spark = stored.sparkSession
+    small_batches(spark)
+    grams = materialize(stored.select(F.explode("grams").alias("gram")).distinct())
+    model = materialize(probabilities(grams, materialize(gram_counts(stored))).select("gram", F.ln("p").cast("float").alias("lp")))
+    each = stored.select("block", F.posexplode("grams").alias("pos", "gram")).join(model, "gram")
+    listed = each.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "lp")))["lp"].alias("values"))
+    placed = stored.select("block", "payload", "pieces").join(listed, "block")
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for payload, about, values in zip(batch["payload"], batch["pieces"], batch["values"]):
+                codes = np.frombuffer(zstandard.decompress(payload).decode().encode("utf-32-le"), np.uint32)
+                ranks = Ranks(codes, np.array([a["length"] for a in about]))
+                found = np.asarray(values, np.float32)[ranks.positions].astype(np.float64)
+                starts = np.cumsum(ranks.counts) - ranks.counts
+                frame = pd.DataFrame(list(about)).drop(columns="length")
+                frame["doc_id"] = frame["doc_id"].astype("Int64")
+                frame["symbols"], frame["total"] = ranks.counts, np.add.reduceat(found, starts)
+                yield frame
+
+    kept = "row long, doc_id long, lang string, trusted boolean, fitted boolean"
+    parts = placed.select("payload", "pieces", "values").mapInPandas(judge, f"{kept}, symbols long, total double")
+    facts = [F.first(c).alias(c) for c in ("doc_id", "lang", "trusted", "fitted")]
+    rows = parts.groupBy("row").agg(*facts, F.sum("symbols").alias("symbols"), F.sum("total").alias("total"))
+    return rows.select("doc_id", "lang", "trusted", "fitted", "symbols", F.exp(-F.col("total") / F.col("symbols")).alias("perplexity"))
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang) with ``trusted``: whether any label of the document says quality 1."""
+    """``docs`` (doc_id, text, lang) with ``trusted``: whether any label of the document says quality 1, and ``fitted``:
+    whether it is also one of those that the model learns from."""
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().withColumn("trusted", F.lit(True))
     found = attach(docs.select("doc_id", "text", "lang"), good, "doc_id")
-    return found.withColumn("trusted", F.coalesce("trusted", F.lit(False)))
+    trusted = F.coalesce("trusted", F.lit(False))
+    return found.withColumn("fitted", trusted & (bucket_of("doc_id", FOLDS) != THRESHOLD_FOLD)).withColumn("trusted", trusted)
 
 
 def classify(docs: DataFrame, labels: DataFrame, low: float = LOW_QUANTILE, high: float = HIGH_QUANTILE) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, symbols, perplexity, low and high threshold, good.
 
     A document is good if its perplexity lies between the ``low`` and ``high`` quantile (approximate, to one part in
-    10 000 of the ranks) of the trusted documents of its language; languages without trusted text, and null, use those
-    of all trusted documents. With no trusted document thresholds are null and everything is good. A label is trusted
-    if its quality is 1; null ids match nothing. Empty texts are not good. Repeated rows repeat; other columns are ignored.
+    10 000 of the ranks) of the trusted documents of its language that the model has not learnt from, or of all trusted
+    documents of a language that has fewer than MIN_HELD_OUT of those. Languages without trusted documents, and null, use
+    the quantiles over all languages. With no trusted document thresholds are null and everything is good. A label is
+    trusted if its quality is 1; null ids match nothing. Null and empty texts consist of their end only and are not
+    good; texts of any length are read whole, in pieces. Repeated rows repeat; other columns are ignored.
     """
-    rows = trusted_rows(docs, labels)
-    scored = materialize(perplexities(rows, fit(rows.where("trusted"))).drop("text"))
+    stored = blocks(trusted_rows(docs, labels))
+    scored = materialize(perplexities(stored))
     trusted = scored.where("trusted AND symbols > 1")
-    cut = [F.percentile_approx("perplexity", q, ACCURACY).alias(name) for q, name in ((low, "low"), (high, "high"))]
+    unseen = F.when(~F.col("fitted"), F.col("perplexity"))
+    cut = [F.when(F.count(unseen) >= MIN_HELD_OUT, F.percentile_approx(unseen, q, ACCURACY))
+           .otherwise(F.percentile_approx("perplexity", q, ACCURACY)).alias(name) for q, name in ((low, "low"), (high, "high"))]
     general = trusted.agg(*cut).first()
     own = trusted.where("lang IS NOT NULL").groupBy("lang").agg(*cut)
     found = attach(scored, own, "lang")

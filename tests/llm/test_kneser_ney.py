@@ -7,35 +7,37 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from frames import AWKWARD, clashing, documents
+from pyspark.sql import functions as F
 
 from featurekit.llm import kneser_ney as k
 from featurekit.llm.common import table
 
-TEXTS = ["abracadabra and a cat", "the cat sat on the mat", "a dog and the cat", "bananas, bananas!", "the end of it 12"]
+TEXTS = ["abracadabra and a cat", "The cat sat on the mat", "a dog and the cat", "bananas, bananas!", "the end of it 12",
+         "Кошка сидит на окне, кошка спит", "Η γάτα κάθεται", "猫坐在垫子上。猫在睡觉。", "emoji 😀😀 too \x00 ￿"]
+
+
+def plain_grams(text):
+    low = "".join("�" if c in "\x00￿" else c for c in (text or "").lower())
+    s = k.EDGE * (k.ORDER - 1) + low + k.EDGE
+    return [s[i : i + k.ORDER] for i in range(len(s) - k.ORDER + 1)]
 
 
 def plain_model(texts):
-    """Recursive interpolated modified Kneser-Ney over symbols, straight from its definition."""
-    alphabet = k.Alphabet()
-    seen = Counter()
-    for text in texts:
-        s = tuple(alphabet.encode(text).tolist())
-        seen.update(s[i : i + k.ORDER] for i in range(len(s) - k.ORDER + 1))
-    counts = {k.ORDER: seen}
+    """Recursive interpolated modified Kneser-Ney over characters, straight from its definition."""
+    counts = {k.ORDER: Counter(g for t in texts for g in plain_grams(t))}
     for n in range(k.ORDER - 1, 0, -1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
     tables = {}
     for n, c in counts.items():
         times = Counter(c.values())
-        discount = k._discounts({f"n{i}": times[i] for i in (1, 2, 3, 4)})
         follow = defaultdict(dict)
         for g, v in c.items():
             follow[g[:-1]][g[-1]] = v
-        tables[n] = (discount, follow)
+        tables[n] = (k._discounts({f"n{i}": times[i] for i in (1, 2, 3, 4)}), follow)
 
-    def p(context, symbol):
-        n = len(context) + 1
-        below = p(context[1:], symbol) if n > 1 else 1 / k.SYMBOLS
+    def p(gram):
+        context, symbol, n = gram[:-1], gram[-1], len(gram)
+        below = p(gram[1:]) if n > 1 else 1 / (len(counts[1]) + 1)
         discount, follow = tables[n]
         seen = follow.get(context)
         if not seen:
@@ -48,25 +50,55 @@ def plain_model(texts):
     return p
 
 
-def test_equals_the_definition(spark):
-    model = k.fit(documents(spark, [(i, t, "en", "s") for i, t in enumerate(TEXTS)]))
+def fitted(spark, texts, unseen=()):
+    rows = documents(spark, [(i, t, "en", "s") for i, t in enumerate([*texts, *unseen])])
+    known = F.col("doc_id") < len(texts)
+    return k.blocks(rows.withColumn("trusted", known).withColumn("fitted", known))
+
+
+@pytest.mark.parametrize("block", [k.BLOCK, 40])
+def test_perplexity_equals_the_definition(spark, monkeypatch, block):
+    monkeypatch.setattr(k, "BLOCK", block)
+    unseen = ["the dog sat", "Собака спит", "犬在睡觉", "zzz qqq", None, ""]
+    rows = {r.doc_id: r for r in k.perplexities(fitted(spark, TEXTS, unseen)).collect()}
     p = plain_model(TEXTS)
-    rng = np.random.default_rng(0)
-    cells = [tuple(rng.integers(0, 40, k.ORDER).tolist()) for _ in range(200)]
-    cells += [tuple(k.Alphabet().encode(TEXTS[1])[i : i + k.ORDER].tolist()) for i in range(18)]
-    for cell in cells:
-        number = 0
-        for s in cell:
-            number = number * k.SYMBOLS + s
-        assert np.exp(model[number]) == pytest.approx(p(cell[:-1], cell[-1]), rel=1e-4)
-    assert np.exp(model.reshape(-1, k.SYMBOLS).astype(float)).sum(axis=1) == pytest.approx(1.0, abs=1e-4)
+    for i, text in enumerate([*TEXTS, *unseen]):
+        grams = plain_grams(text)
+        assert rows[i].symbols == len(grams)
+        assert rows[i].perplexity == pytest.approx(np.exp(-np.mean([np.log(p(g)) for g in grams])), rel=1e-5)
+
+
+def test_probabilities_add_up_to_one(spark):
+    counts = k.gram_counts(fitted(spark, TEXTS))
+    letters = sorted({g[-1] for t in TEXTS for g in plain_grams(t)}) + ["\u0001"]  # the last stands for all unknown ones
+    for context in ("the", "кош", "猫在睡", k.EDGE * 3, "xyz"):
+        asked = spark.createDataFrame([(context + c,) for c in letters], "gram string")
+        assert sum(r.p for r in k.probabilities(asked, counts).collect()) == pytest.approx(1.0, abs=1e-9)
+
+
+@pytest.mark.parametrize("dense", [k._DENSE, 1])
+def test_ranks_and_pieces_hold_every_gram_once(monkeypatch, dense):
+    monkeypatch.setattr(k, "_PIECE", 7)
+    monkeypatch.setattr(k, "_DENSE", dense)
+    cut = [p for t in TEXTS for p in k.pieces(t)]
+    ranks = k.Ranks(np.concatenate(cut), np.array([len(p) for p in cut]))
+    grams = ranks.grams()
+    assert len(set(grams)) == len(grams)
+    assert [grams[i] for i in ranks.positions] == [g for t in TEXTS for g in plain_grams(t)]
+
+
+def test_long_texts_in_pieces_equal_whole_ones(spark, monkeypatch):
+    texts = [TEXTS[0] * 9, TEXTS[1] * 7, TEXTS[5] * 5]
+    whole = {r.doc_id: r.perplexity for r in k.perplexities(fitted(spark, texts)).collect()}
+    monkeypatch.setattr(k, "_PIECE", 11)
+    monkeypatch.setattr(k, "BLOCK", 100)
+    assert {r.doc_id: r.perplexity for r in k.perplexities(fitted(spark, texts)).collect()} == pytest.approx(whole, rel=1e-9)
 
 
-def test_pieces_of_long_texts_do_not_change_counts(spark, monkeypatch):
-    docs = documents(spark, [(1, TEXTS[0] * 9, "en", "s"), (2, TEXTS[1] * 7, "en", "s")])
-    whole = {(r.gram, r.n) for r in k.gram_counts(docs).collect()}
-    symbols = np.concatenate([k.grams(k.Alphabet().encode(t)) for t in (TEXTS[0] * 9, TEXTS[1] * 7)])
-    assert whole == set(Counter(symbols.tolist()).items())
+def test_texts_are_not_shuffled(spark):
+    stored = fitted(spark, TEXTS)
+    plan = k.perplexities(stored)._jdf.queryExecution().toString()
+    assert "Bucketed: true" in plan
 
 
 def test_junk_is_told_from_trusted_text(spark, sf_dir):
@@ -87,5 +119,5 @@ def test_awkward_rows(spark):
     assert all(r.perplexity > 0 for r in rows)
     unlabelled = k.classify(docs, labels.limit(0)).collect()
     assert {r.good for r in unlabelled if r.symbols > 1} == {1} and {r.high for r in unlabelled} == {None}
-    assert unlabelled[0].perplexity == pytest.approx(k.SYMBOLS, rel=1e-3)
+    assert {r.perplexity for r in unlabelled} == {1.0}
     assert k.classify(docs.limit(0), labels).count() == 0
