@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: how this vocabulary's text is cut into pieces before they are encoded.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The matcher of this pattern steps back over a run of white space on its stack, which a very long run overflows. Such
+# runs are cut out first, where the pattern cuts too: all of the run but its last character, which goes with what follows.
+LONG_RUN = 10_000
+
 # Who gets a token that lies in several sections: the one with its first character, with its last, or with most of it
 # (the earlier one of equals).
 RULES = ("start", "end", "most")
@@ -65,6 +70,8 @@ class Counter:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.one_piece = tiktoken.Encoding("own_piece", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        self.runs = regex.compile(rf"\p{{White_Space}}{{{LONG_RUN},}}")
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, rank in ranks.items():
             self.lengths[rank] = len(token)
@@ -75,9 +82,19 @@ class Counter:
             cls._built[len(ranks)] = cls(ranks)
         return cls._built[len(ranks)]
 
+    def encode(self, text: str) -> list[int]:
+        """The tokens of a text with white space runs of any length."""
+        ids, at = [], 0
+        for run in self.runs.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += self.encoding.encode_ordinary(text[at : run.start()])
+            ids += self.one_piece.encode_ordinary(text[run.start() : end])
+            at = end
+        return ids + self.encoding.encode_ordinary(text[at:])
+
     def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The first and the last character of every token; parts of a character count as that character."""
-        ids = self.encoding.encode_ordinary(text)
+        ids = self.encode(text)
         ends = np.cumsum(self.lengths[np.array(ids, np.int64)]) if ids else np.zeros(0, np.int64)
         raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         character = np.cumsum((raw & 0xC0) != 0x80) - 1
@@ -123,7 +140,7 @@ def count_tokens(
     doc_id, section, kind, start, length, tokens, crossing, doc_tokens.
 
     Offsets count characters from 0, sections from 0. A null or empty text has the one section (0, "empty") of length
-    and tokens 0. Repeated rows repeat, a null doc_id is carried along, other columns are ignored. ``tokens`` of the
+    and tokens 0. Texts and runs of white space may have any length. Repeated rows repeat, a null doc_id is carried along, other columns are ignored. ``tokens`` of the
     sections add up to doc_tokens where the sections cover the text.
     """
     if rule not in RULES:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+import regex
 from frames import AWKWARD, clashing, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,6 +12,10 @@ from featurekit.llm import token_counts as t
 
 COUNTER = t.Counter.once(t.load_ranks())
 
+CUTTERS = {shortest: t.Counter(t.load_ranks()) for shortest in (1, 2, 3)}
+for _shortest, _counter in CUTTERS.items():
+    _counter.runs = regex.compile(rf"\p{{White_Space}}{{{_shortest},}}")
+
 
 @given(st.text(max_size=80))
 @settings(max_examples=80, deadline=None)
@@ -59,3 +64,20 @@ def test_other_sections(spark):
     docs = documents(spark, [(1, "title\nbody text here", "en", "s")])
     rows = t.count_tokens(docs, sections=lambda text: [(0, 5, "title"), (5, len(text), "rest")], rule="most").collect()
     assert [(r.kind, r.start, r.length) for r in rows] == [("title", 0, 5), ("rest", 5, 15)]
+
+
+@given(st.lists(st.sampled_from([" ", "\n", "\t", "　", "\x1c", "a", "7", "!", "'s", "é", "  "]), max_size=40).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_cutting_runs_changes_no_token(text):
+    for shortest, counter in CUTTERS.items():
+        assert counter.encode(text) == COUNTER.encoding.encode_ordinary(text), shortest
+
+
+def test_blank_runs_of_any_length(spark):
+    blank = " " * 1_000_000
+    docs = documents(spark, [(1, blank + "x", "en", "s"), (2, "x" + blank, "en", "s"), (3, blank + "\n" + blank, "en", "s")])
+    rows = t.count_tokens(docs).collect()
+    totals = {r.doc_id: r.doc_tokens for r in rows}
+    assert set(totals) == {1, 2, 3} and min(totals.values()) > 0
+    for i in totals:
+        assert sum(r.tokens for r in rows if r.doc_id == i) == totals[i]
