@@ -136,8 +136,8 @@ def blocks(rows: DataFrame) -> DataFrame:
 
 
 def gram_counts(stored: DataFrame) -> DataFrame:
-    """(gram, n) over the fitted rows of all blocks."""
-    each = stored.select(F.explode(F.arrays_zip("grams", "counts")).alias("g")).where("g.counts > 0")
+    """(gram, n) for every n-gram of all blocks, n being its count in the fitted rows."""
+    each = stored.select(F.explode(F.arrays_zip("grams", "counts")).alias("g"))
     return each.groupBy(F.col("g.grams").alias("gram")).agg(F.sum("g.counts").alias("n"))
 
 
@@ -202,8 +202,9 @@ def perplexities(stored: DataFrame) -> DataFrame:
     """One row per row of the blocks: doc_id, lang, trusted, fitted, symbols (characters and the end), perplexity."""
     spark = stored.sparkSession
     small_batches(spark)
-    grams = materialize(stored.select(F.explode("grams").alias("gram")).distinct())
-    model = materialize(probabilities(grams, materialize(gram_counts(stored))).select("gram", F.ln("p").cast("float").alias("lp")))
+    grams = materialize(gram_counts(stored))  # one shuffle gives both the n-grams asked for and the counts of the model
+    known = probabilities(grams.select("gram"), grams.where("n > 0"))
+    model = materialize(known.select("gram", F.ln("p").cast("float").alias("lp")))
     each = stored.select("block", F.posexplode("grams").alias("pos", "gram")).join(model, "gram")
     listed = each.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("pos", "lp")))["lp"].alias("values"))
     placed = stored.select("block", "payload", "pieces").join(listed, "block")
