@@ -17,6 +17,10 @@ WEIGHTS = (1.0, 2.0, 3.0)
 
 _EXACT = 1e-9
 
+# The gap is first looked for in this many times its own words of the order; windows without enough grow by GROWTH.
+SPAN = 64
+GROWTH = 8
+
 
 def text_hash() -> Column:
     return F.xxhash64("text")
@@ -55,6 +59,46 @@ def source_targets(sources: DataFrame, max_copies: int = MAX_COPIES, weights: tu
     return stored.select("source", "source_size", target.cast("double").alias("target"))
 
 
+def fill_gaps(listed: DataFrame, gaps: DataFrame, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """Go on down the order behind the first document that did not fit: what is taken, and (source, gap) left over.
+
+    ``listed`` has source, none and key (its sort key), rank, doc_id, text_hash, words and cum_words, the running sum
+    along the order; ``gaps`` has source, gap and after, the cum_words of the document that did not fit. From there
+    documents of at most half the gap are taken in order while they fit. The first that does not halves the limit
+    again: it is passed over for good, and only documents of at most half of what is then missing go on. So the
+    rounds, which all sources share, grow with the logarithm of the gap. A round sorts a window of the order only; a
+    window that ends the search of no source is followed by a longer one, until no document of the allowed size is
+    left. Larger documents are left to the filler: at most one of them can still fit.
+    """
+    order = ["rank", "doc_id", "text_hash"]
+    narrow = listed.select("source", "none", "key", *order, "words", F.col("cum_words").alias("at"))
+    state = materialize(gaps.select(
+        "source", "gap", "after", (F.col("gap") / 2).alias("limit"), F.greatest(F.col("gap") * span, F.lit(1.0)).alias("span")))
+    taken = narrow.select("source", *order).limit(0)
+    while True:
+        allowed = (F.col("at") > F.col("after")) & (F.col("words") <= F.col("limit"))
+        starts = materialize(
+            attach(narrow, state, "source").where(allowed).groupBy("source").agg(F.min("at").alias("start")))
+        if starts.isEmpty():
+            return taken, state.select("source", "gap")
+        opened = materialize(attach(state, starts, "source"))
+        inside = (F.col("at") >= F.col("start")) & (F.col("at") <= F.col("start") + F.col("span"))
+        window = attach(narrow, opened, "source").where(inside & (F.col("words") <= F.col("limit")))
+        fits = F.col("cum_words") <= F.col("gap")
+        summed = materialize(
+            running_sums(window.select(*narrow.columns, "gap"), order, ["words"], ["none", "key"]).withColumn("fits", fits))
+        taken = taken.union(summed.where("fits").select("source", *order))
+        steps = summed.groupBy("source").agg(
+            F.max(F.when(F.col("fits"), F.col("cum_words"))).alias("used"), F.min(F.when(~F.col("fits"), F.col("at"))).alias("stop"))
+        gap = F.col("gap") - F.coalesce(F.col("used"), F.lit(0))
+        state = materialize(attach(opened, steps, "source").select(
+            "source", gap.alias("gap"),
+            F.coalesce(F.col("stop"), F.floor(F.col("start") + F.col("span")), F.col("after")).alias("after"),
+            F.when(F.col("stop").isNull(), F.col("limit")).otherwise(gap / 2).alias("limit"),
+            F.when(F.col("stop").isNull(), F.col("span") * GROWTH).otherwise(F.col("span")).alias("span"),
+        ))
+
+
 def pareto_sample(
     docs: DataFrame,
     *,
@@ -69,8 +113,9 @@ def pareto_sample(
     relative to the source's mean (a column of positive numbers; null or no column: 1), at most ``max_copies`` times.
     The whole part are certain copies. The rest is an inclusion probability p: with a random u per document, those
     with the lowest [u / (1 - u)] / [p / (1 - p)] get one more copy, in this order, for as long as they fit into the
-    words still wanted (the sample has a fixed size in words). What is then missing is filled by the one document
-    left whose size comes nearest to it, if that helps. u is a hash of the row, so reruns agree.
+    words still wanted (the sample has a fixed size in words). A document that does not fit is passed over and the
+    order goes on with smaller ones (:func:`fill_gaps`). What is then missing is filled by the one document left whose
+    size comes nearest to it, if that helps. u is a hash of the row, so reruns agree.
 
     Null or empty texts have size 0 and are never drawn for an extra copy. Null sources are one source. Rows with the
     same doc_id, source and text are drawn together: one result row, ``repeats`` says how many there are, and size is
@@ -105,12 +150,19 @@ def pareto_sample(
         .withColumn("missing", F.col("target") - F.col("fixed_words"))
         .withColumn("drawn", F.col("cum_words") <= F.col("missing"))
     )
+    # A source whose documents all fit has nothing left to go on with.
     gaps = listed.groupBy("source").agg(
-        (F.max("missing") - F.coalesce(F.max(F.when(F.col("drawn"), F.col("cum_words"))), F.lit(0))).alias("gap"))
-    identity = F.struct("rank", "doc_id", "text_hash")
+        (F.max("missing") - F.coalesce(F.max(F.when(F.col("drawn"), F.col("cum_words"))), F.lit(0))).alias("gap"),
+        F.min(F.when(~F.col("drawn"), F.col("cum_words"))).alias("after"),
+    ).where("after IS NOT NULL")
+    taken, left = fill_gaps(listed, gaps)
+    order = ["rank", "doc_id", "text_hash"]
+    listed = attach(listed, taken.withColumn("went_on", F.lit(True)), ["source", *order])
+    listed = listed.withColumn("drawn", F.col("drawn") | F.coalesce(F.col("went_on"), F.lit(False))).drop("went_on")
+    identity = F.struct(*order)
     fill = F.when(~F.col("drawn") & (F.abs(F.col("gap") - F.col("words")) < F.col("gap")),
                   F.struct(F.abs(F.col("gap") - F.col("words")).alias("off"), identity.alias("unit")))
-    fills = attach(listed, gaps, "source").groupBy("source").agg(F.min(fill)["unit"].alias("filler"))
+    fills = attach(listed, left, "source").groupBy("source").agg(F.min(fill)["unit"].alias("filler"))
     extra = F.col("drawn") | F.coalesce(F.col("filler") == identity, F.lit(False))
     result = ["doc_id", "source", "text_hash", "repeats", "size", "source_size", "target"]
     drawn = attach(listed, fills, "source").select(*result, (F.col("copies") + extra.cast("long")).alias("copies"))

@@ -61,6 +61,56 @@ def test_mix_comes_near_its_targets_and_repeats(spark):
     assert {(r.doc_id, r.copies) for r in rows} == {(r.doc_id, r.copies) for r in again}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_a_long_document_does_not_keep_a_source_from_its_target(spark, seed):
+    # The source "b" may hold three times its size at most, which leaves 9000 words to "a".
+    rows = [(i, " ".join(["w"] * 100), "en", "a") for i in range(100)] + [(100, " ".join(["w"] * 20_000), "en", "a")]
+    rows += [(200 + i, " ".join(["w"] * 60), "en", "b") for i in range(3)]
+    taken = mixing.pareto_sample(documents(spark, rows), seed=seed, source_weights=(3.0, 7.0)).where("source = 'a'").collect()
+    assert len(taken) == 101
+    assert abs(sum(r.copies * r["size"] for r in taken) - taken[0].target) <= 100
+
+
+def plain_fill(words: list[int], missing: float) -> tuple[set[int], float]:
+    """One source, document by document: positions taken behind the first that does not fit, and what is then missing."""
+    gap, at = missing, 0
+    while at < len(words) and words[at] <= gap:
+        gap -= words[at]
+        at += 1
+    limit, taken = gap / 2, set()
+    for i in range(at + 1, len(words)):
+        if words[i] > limit:
+            continue
+        if words[i] <= gap:
+            gap -= words[i]
+            taken.add(i)
+        else:
+            limit = gap / 2
+    return taken, gap
+
+
+@pytest.mark.parametrize("span", [1, 64])
+def test_gaps_are_filled_as_a_plain_walk_fills_them(spark, span):
+    from itertools import accumulate
+
+    rng = random.Random(11)
+    rows, gaps, wanted, left = [], [], set(), {}
+    for source in ("a", "b", "c", None):
+        words = [rng.choice((1, 3, rng.randint(1, 50), rng.randint(1, 3000))) for _ in range(300)]
+        sums, missing = list(accumulate(words)), rng.uniform(500, 9000)
+        drawn = [c for c in sums if c <= missing]
+        taken, rest = plain_fill(words, missing)
+        wanted |= {(source, i) for i in taken}
+        left[source] = pytest.approx(rest)
+        rows += [(source, source is None, source or "", float(i), i, 0, w, c) for i, (w, c) in enumerate(zip(words, sums))]
+        gaps.append((source, missing - max(drawn, default=0), sums[len(drawn)]))
+    listed = spark.createDataFrame(
+        rows, "source string, none boolean, key string, rank double, doc_id long, text_hash long, words long, cum_words long")
+    got, rest = mixing.fill_gaps(listed, spark.createDataFrame(gaps, "source string, gap double, after long"), span)
+    assert {(r.source, r.doc_id) for r in got.collect()} == wanted
+    assert {r.source: r.gap for r in rest.collect()} == left
+
+
 def test_weights_shift_the_sample(spark):
     from pyspark.sql import functions as F
 
