@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -47,7 +47,8 @@ INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "insult", "threat", "target",
 HIT, AIMED = "hit", "aimed hit"  # what the insult and threat transducers make of a match
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-_CLAUSE_END = re.compile(r"[.!?;:,\n\r]")
+CLAUSE_ENDS = ".!?;:,\n\r"
+_CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 
 SEED_WEIGHT = 3.0
 CAUTION = 2.0  # taken off the prior log-odds, because every document holds many clauses
@@ -138,21 +139,19 @@ class Model:
             return INSULT, weight
         return self._classes.get(word, OTHER), 0.0
 
-    def clauses(self, text: str) -> Iterator[list[tuple[str, float]]]:
-        """The clauses of a lower-cased text that hold a trigger, as classes."""
+    def clauses(self, text: str) -> Iterator[Iterator[tuple[str, float]]]:
+        """The clauses of a lower-cased text that hold a trigger, from end to end, as streams of classes."""
         end = 0
         for hit in self._trigger.finditer(text):
             if hit.start() < end:
                 continue
-            # Long runs without punctuation are read in windows around the trigger.
-            low, high = max(end, hit.start() - 400), min(len(text), hit.end() + 400)
-            before = [m.end() for m in _CLAUSE_END.finditer(text, low, hit.start())]
-            after = _CLAUSE_END.search(text, hit.end(), high)
-            start, end = before[-1] if before else low, after.start() if after else high
-            yield [self.classify(w) for w in _TOKEN.findall(text, start, end)]
-
-    def weigh(self, clause: list[tuple[str, float]]) -> float | None:
-        """The weight of the path through the composed machine; None if nothing matched."""
+            start = max(end, *(text.rfind(c, end, hit.start()) + 1 for c in CLAUSE_ENDS))
+            after = _CLAUSE_END.search(text, hit.end())
+            end = after.start() if after else len(text)
+            yield (self.classify(m.group()) for m in _TOKEN.finditer(text, start, end))
+
+    def weigh(self, clause: Iterable[tuple[str, float]]) -> float | None:
+        """The weight of the path through the composed machine, whose state is all it keeps; None if nothing matched."""
         state, total, best, matched = 0, 0.0, 0.0, False
         for symbol, weight in clause:
             state, written, added = self._machine.step(state, symbol)
@@ -336,7 +335,7 @@ def _modifiers(sample: DataFrame, model: Model, share: float) -> Modifiers:
 def assess(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted, clauses.
 
-    Null and empty texts score like texts without a match. A null doc_id counts as empty text for held_out. Repeated
+    Null and empty texts score like texts without a match. A clause is read as a whole, however long it is. A null doc_id counts as empty text for held_out. Repeated
     rows repeat, other columns are ignored.
     """
     small_batches(docs.sparkSession)

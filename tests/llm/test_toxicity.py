@@ -31,6 +31,15 @@ def test_long_texts_are_read_to_their_end():
     assert t.seed_model().score("word " * 300_000 + "you idiot")[0] > 0.3
 
 
+@pytest.mark.parametrize("gap", [0, 120, 5000])
+def test_a_clause_is_read_as_a_whole(gap):
+    score = lambda s: t.seed_model().score(s)[0]
+    between = "word " * gap
+    assert score(f"not {between}an idiot") == pytest.approx(score("not an idiot"))
+    assert score(f"idiot {between}you") == pytest.approx(score("idiot you"))
+    assert t.seed_model().score(f"idiot {'x' * 390} {between}moron here. scum")[1] == 2
+
+
 @pytest.fixture(scope="module")
 def model(spark, sf_dir):
     return t.learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
