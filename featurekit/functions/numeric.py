@@ -33,5 +33,14 @@ def zero_share(columns: list[str], numeric: list[str]) -> Column:
     return F.try_divide(zeros, filled)
 
 
+def deviation(value: str | Column) -> Column:
+    """Sample deviation of a group, exactly 0 where all its values are equal; null below two values.
+
+    Merged means of equal values differ in their last digit, which :func:`stddev_samp` takes for a deviation.
+    """
+    low, high = F.min(value), F.max(value)
+    return F.when((F.count(value) > 1) & (low == high), (high - low).cast("double")).otherwise(F.stddev_samp(value))
+
+
 def nan_to_null(column: str) -> Column:
     return F.when(~F.isnan(column), F.col(column))

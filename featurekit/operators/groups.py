@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featurekit.functions.numeric import nan_to_null
+from featurekit.functions.numeric import deviation, nan_to_null
 from featurekit.operators.lookup import WEIGHT, Size, attach, measure, store
 from featurekit.operators.moments import column_moments
 from featurekit.session import materialize, materialize_by
@@ -20,7 +20,7 @@ FUNCTIONS = {
     "min": F.min,
     "mean": F.avg,
     "max": F.max,
-    "std": F.stddev_samp,
+    "std": deviation,
     "sum": F.sum,
     "count": F.count,
 }

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featurekit.functions.numeric import deviation
 from featurekit.operators.columns import columns_of
 from featurekit.operators.encoders import value_table
 from featurekit.operators.groups import crosstab_share, known_keys, sort_categories
@@ -157,7 +158,7 @@ def density(df: DataFrame, column: str, by: str, points: int = 100, cut: float =
     x = _number(column)
     known = known_keys(df, [by]).where(x.isNotNull())
     spread = known.groupBy(by).agg(
-        F.count(F.lit(1)).alias("__n"), (F.stddev_samp(x) * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("__h"),
+        F.count(F.lit(1)).alias("__n"), (deviation(x) * F.pow(F.count(F.lit(1)).cast("double"), F.lit(-0.2))).alias("__h"),
         F.min(x).alias("__low"), F.max(x).alias("__high"),
     )
     groups = materialize(spread)

@@ -36,6 +36,16 @@ def test_ratio_of_null_single_and_constant_groups(tx):
     assert deviations[4] is None and deviations[5] is None and deviations[3] is None
 
 
+def test_equal_values_of_many_tasks_have_no_deviation(spark):
+    # A task holds thirteen rows of a card, and 8128.17 / 13 * 13 is not 8128.17.
+    rows = spark.range(0, 104, numPartitions=4).selectExpr("id", "'train' AS ds", "id % 2 AS card", "8128.17D AS amt", "0.1D * (id % 3) AS other")
+    result = groups.group_ratios(rows, ["amt", "other"], ["card"], ["ds"]).collect()
+    assert {r["amt_to_std_card"] for r in result} == {None}
+    assert all(r["other_to_std_card"] is not None for r in result)
+    stats = groups.group_stats(rows, "card", ["amt"], ["std"]).collect()
+    assert [r["amt_std"] for r in stats] == [0.0, 0.0]
+
+
 def test_count_encodings_and_nulls(tx):
     assert _by_id(encoders.count_encode(tx, ["card"]), "card_count_full") == {1: 3, 2: 3, 3: 2, 4: 1, 5: 2, 6: 2, 7: 3, 8: 1, 9: 2}
     separate = _by_id(encoders.count_encode(tx, ["card"], ["ds"], "_d"), "card_d")
