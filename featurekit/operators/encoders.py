@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from featurekit.functions.text import as_text, joined_text
 from featurekit.operators.groups import key_statistics, known_keys
-from featurekit.operators.lookup import WEIGHT, Size, attach, size_columns
+from featurekit.operators.lookup import LIMIT, WEIGHT, Size, attach, size_columns
 from featurekit.operators.ordering import dense_codes, ordinals
 from featurekit.session import materialize_by
 
@@ -60,7 +60,7 @@ def count_encode(
     if not nulls:
         counts = counts.where(F.col("value").isNotNull())
     parts = _by_column(counts.withColumnRenamed("n", WEIGHT), within)
-    for column in columns:
+    for column in parts.small_first(columns):
         dictionary = parts.part(column).select(
             *within, F.col("value").cast(df.schema[column].dataType).alias(column),
             F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
@@ -83,6 +83,10 @@ class _Parts:
         row = self.rows.get(column)
         return Size(row["rows"], row["bytes"], row["null_keys"], row["weight"]) if row else Size(0, 0, 0)
 
+    def small_first(self, columns: Iterable[str]) -> list[str]:
+        """Large dictionaries shuffle the rows, which are narrower once the other columns are encoded."""
+        return sorted(columns, key=lambda c: not self.size(c).fits(LIMIT))
+
 
 def _by_column(table: DataFrame, within: Sequence[str] = ()) -> _Parts:
     stored = materialize_by(table, "column")
@@ -108,17 +112,18 @@ def _text_codes(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
     """Add one code column per text; all dictionaries are learnt and put in order in one pass."""
     if not texts:
         return df
-    rows = df.withColumns({f"__text_{name}": text for name, text in texts.items()})
-    names = {f"__text_{name}": name for name in texts}
-    counted = value_table(rows, list(names)).where(F.col("value").isNotNull()).withColumnRenamed("n", WEIGHT)
+    read = df.select(*[text.alias(name) for name, text in texts.items()])
+    counted = value_table(read, list(texts)).where(F.col("value").isNotNull()).withColumnRenamed("n", WEIGHT)
     # One order over all columns: a code is the position of the value less that of the column's first value.
     parts = _by_column(ordinals(counted, ["column", "value"], name="position"))
-    for column, name in names.items():
-        first = parts.rows[column]["first"] if column in parts.rows else 0
+    rows = df
+    for name in parts.small_first(texts):
+        first = parts.rows[name]["first"] if name in parts.rows else 0
         code = (F.col("position") - F.lit(first)).alias(name)
-        dictionary = parts.part(column).select(F.col("value").alias(column), code, WEIGHT)
-        rows = attach(rows, dictionary, column, size=parts.size(column))
-    return rows.drop(*[f"__text_{name}" for name in texts])
+        dictionary = parts.part(name).select(F.col("value").alias("__text"), code, WEIGHT)
+        # A text is made for its own join only: no shuffle carries those of the other columns.
+        rows = attach(rows.withColumn("__text", texts[name]), dictionary, "__text", size=parts.size(name)).drop("__text")
+    return rows.select(*df.columns, *texts)
 
 
 def number_values(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -38,6 +38,10 @@ LIMIT = BroadcastLimit()
 # A key is hot when it holds more than this share of all rows; there are fewer than 1/share such keys.
 HOT_SHARE = 1e-4
 
+# Hash bits that scatter settled rows, and those that the other rows carry beside their key; few bits are shuffled in fewer bytes.
+_SPREAD = 0xFFFF
+_TAG = 0xF
+
 # Optional dictionary column: how many rows of the big table carry the key. It never reaches the result.
 WEIGHT = "__weight"
 
@@ -164,7 +168,7 @@ def _attach_large(df: DataFrame, dictionary: DataFrame, on: list[str], size: Siz
     cold = dictionary.join(F.broadcast(hot_keys), is_listed, "left_anti")
     tagged = df.join(F.broadcast(hot), _same_keys(on, "__h", null_safe), "left")
 
-    # Both sides are shuffled by key and by a hash of it. A row that needs no partner any more - its key is hot, or
+    # Both sides are shuffled by key and by some bits of its hash. A row that needs no partner any more - its key is hot, or
     # null while the dictionary knows no null - is hashed by its own identity instead, which scatters such rows
     # over all tasks.
     types = [df.schema[k].dataType for k in on]
@@ -172,11 +176,11 @@ def _attach_large(df: DataFrame, dictionary: DataFrame, on: list[str], size: Siz
     if not null_safe:
         settled = reduce(or_, [F.col(k).isNull() for k in on], settled)
     left = tagged.withColumn("__settled", settled).withColumn(
-        "__spread", F.when(F.col("__settled"), F.xxhash64(*_row_id(df))).otherwise(F.xxhash64(*on))
+        "__spread", F.when(F.col("__settled"), F.xxhash64(*_row_id(df)).bitwiseAND(_SPREAD)).otherwise(F.xxhash64(*on).bitwiseAND(_TAG))
     )
     right = cold.select(
         *[F.col(k).cast(t).alias(f"__c{i}") for i, (k, t) in enumerate(zip(on, types))],
-        F.xxhash64(*[F.col(k).cast(t) for k, t in zip(on, types)]).alias("__c_spread"),
+        F.xxhash64(*[F.col(k).cast(t) for k, t in zip(on, types)]).bitwiseAND(_TAG).alias("__c_spread"),
         *[F.col(v).alias(f"__cold_{v}") for v in values],
     )
     condition = _same_keys(on, "__c", null_safe) & (F.col("__spread") == F.col("__c_spread")) & ~F.col("__settled")
