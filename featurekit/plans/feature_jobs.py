@@ -104,11 +104,19 @@ def latest_browser(df: DataFrame) -> DataFrame:
     return df.select(KEY, DATASET, flag.alias("latest_browser"))
 
 
-def interactions_and_counts(df: DataFrame, useful: Sequence[str] | None = None) -> DataFrame:
-    """f103, and f104 when ``useful`` names the columns that may be counted."""
+def interactions(df: DataFrame, pairs: Sequence[tuple[str, str]] = tuple(PAIRS)) -> DataFrame:
+    """The codes of f103 alone."""
+    rows = encoders.pair_codes(_narrow(df, *sorted({c for pair in pairs for c in pair})), pairs)
+    return _new(rows, [f"{a}__{b}" for a, b in pairs])
+
+
+def interactions_and_counts(
+    df: DataFrame, useful: Sequence[str] | None = None, pairs: Sequence[tuple[str, str]] = tuple(PAIRS)
+) -> DataFrame:
+    """f103, and f104 when ``useful`` names the columns that may be counted; ``pairs`` lists the codes that are wanted."""
     full = [c for c in COUNTED_FULL if useful is None or c in useful]
     separate = [c for c in COUNTED_PER_DATASET if useful is None or c in useful]
-    paired = sorted({c for pair in PAIRS for c in pair})
+    paired = sorted({c for pair in pairs for c in pair})
     rows = _narrow(df, "TransactionAmt", SECONDS, "card1", *paired, *full, *separate)
     rows = rows.withColumns({
         "TransactionAmt_decimal": numeric.amount_decimals("TransactionAmt"),
@@ -117,10 +125,10 @@ def interactions_and_counts(df: DataFrame, useful: Sequence[str] | None = None)
     })
     rows = encoders.count_encode(rows, ["card1", *full], suffix="_count_full")
     rows = encoders.count_encode(rows, separate, [DATASET], "_count_dist")
-    rows = encoders.pair_codes(rows, PAIRS)
+    rows = encoders.pair_codes(rows, pairs)
     return _new(rows, [
         "TransactionAmt_decimal", "card1_count_full", "Transaction_day_of_week", "Transaction_hour",
-        *[f"{a}__{b}" for a, b in PAIRS], *[f"{c}_count_full" for c in full], *[f"{c}_count_dist" for c in separate],
+        *[f"{a}__{b}" for a, b in pairs], *[f"{c}_count_full" for c in full], *[f"{c}_count_dist" for c in separate],
     ])
 
 

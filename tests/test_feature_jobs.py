@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featurekit.operators import encoders, lookup
 from featurekit.operators.lookup import with_row_id
 from featurekit.plans import feature_jobs as jobs
 from featurekit.session import scratch_path
@@ -131,6 +132,19 @@ def test_interactions_and_counts(df, pdf):
     assert len(limited.columns) == 19 and "id_34_count_full" not in limited.columns
 
 
+def test_only_wanted_codes_are_joined_and_texts_are_not_shuffled(df, monkeypatch):
+    all_codes = {c: list(jobs.interactions(df).toPandas().sort_values("TransactionID")[c]) for c in ("card1__card5", "addr1__card1")}
+    monkeypatch.setattr(lookup, "LIMIT", lookup.BroadcastLimit(0, 0))
+    monkeypatch.setattr(encoders, "LIMIT", lookup.LIMIT)
+    shuffled = jobs.interactions(df, [("card1", "card5"), ("addr1", "card1")])
+    plan = shuffled._jdf.queryExecution().optimizedPlan().toString()
+    assert "__text_" not in plan and "Expand" not in plan
+    result = shuffled.toPandas().sort_values("TransactionID")
+    assert all(list(result[c]) == codes for c, codes in all_codes.items())
+    counts = jobs.interactions_and_counts(df, ["id_36"], pairs=[])
+    assert "position" not in counts._jdf.queryExecution().optimizedPlan().toString() and len(counts.columns) == 8
+
+
 def test_count_encodings(df, pdf):
     result = _result(jobs.count_encodings(df), 46)
     for column in ("card4", "addr1", "id_38"):
