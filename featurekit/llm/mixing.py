@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featurekit.llm.common import WORD
-from featurekit.operators.lookup import attach
+from featurekit.operators.lookup import attach, store
 from featurekit.operators.ordering import ordinals, running_sums
 from featurekit.session import materialize
 
@@ -71,32 +71,39 @@ def fill_gaps(listed: DataFrame, gaps: DataFrame, span: int = SPAN) -> tuple[Dat
     left. Larger documents are left to the filler: at most one of them can still fit.
     """
     order = ["rank", "doc_id", "text_hash"]
-    narrow = listed.select("source", "none", "key", *order, "words", F.col("cum_words").alias("at"))
-    state = materialize(gaps.select(
-        "source", "gap", "after", (F.col("gap") / 2).alias("limit"), F.greatest(F.col("gap") * span, F.lit(1.0)).alias("span")))
+    narrow = listed.select("source", *order, "words", F.col("cum_words").alias("at"))
+    state, size = store(gaps.select(
+        "source", "gap", F.col("after").cast("double").alias("after"), (F.col("gap") / 2).alias("limit"),
+        F.greatest(F.col("gap") * span, F.lit(1.0)).alias("span")), ["source"])
+    known = ["gap", "after", "limit", "span"]
     taken = narrow.select("source", *order).limit(0)
     while True:
         allowed = (F.col("at") > F.col("after")) & (F.col("words") <= F.col("limit"))
-        starts = materialize(
-            attach(narrow, state, "source").where(allowed).groupBy("source").agg(F.min("at").alias("start")))
-        if starts.isEmpty():
+        opened, found = store(
+            attach(narrow, state, "source", size=size).where(allowed).groupBy("source")
+            .agg(F.min("at").alias("start"), *[F.max(c).alias(c) for c in known]), ["source"])
+        if not found.rows:
             return taken, state.select("source", "gap")
-        opened = materialize(attach(state, starts, "source"))
         inside = (F.col("at") >= F.col("start")) & (F.col("at") <= F.col("start") + F.col("span"))
-        window = attach(narrow, opened, "source").where(inside & (F.col("words") <= F.col("limit")))
-        fits = F.col("cum_words") <= F.col("gap")
-        summed = materialize(
-            running_sums(window.select(*narrow.columns, "gap"), order, ["words"], ["none", "key"]).withColumn("fits", fits))
+        window = attach(narrow, opened, "source", size=found).where(inside & (F.col("words") <= F.col("limit")))
+        # A window holds a multiple of the gap in words, however long the order of its source is.
+        so_far = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        summed = materialize(window.withColumn("cum_words", F.sum("words").over(so_far)).select(
+            "source", *order, "at", "start", "cum_words", (F.col("cum_words") <= F.col("gap")).alias("fits")))
         taken = taken.union(summed.where("fits").select("source", *order))
+        # One row per source on either side; a source without a window stays as it is.
+        none = F.lit(None).cast("double")
         steps = summed.groupBy("source").agg(
-            F.max(F.when(F.col("fits"), F.col("cum_words"))).alias("used"), F.min(F.when(~F.col("fits"), F.col("at"))).alias("stop"))
+            F.max(F.when(F.col("fits"), F.col("cum_words"))).cast("double").alias("used"),
+            F.min(F.when(~F.col("fits"), F.col("at"))).cast("double").alias("stop"), F.max("start").cast("double").alias("start"))
+        both = state.select("source", *known, *[none.alias(c) for c in ("used", "stop", "start")]).union(
+            steps.select("source", *[none.alias(c) for c in known], "used", "stop", "start"))
         gap = F.col("gap") - F.coalesce(F.col("used"), F.lit(0))
-        state = materialize(attach(opened, steps, "source").select(
-            "source", gap.alias("gap"),
-            F.coalesce(F.col("stop"), F.floor(F.col("start") + F.col("span")), F.col("after")).alias("after"),
+        moved = both.groupBy("source").agg(*[F.max(c).alias(c) for c in both.columns[1:]]).select(
+            "source", gap.alias("gap"), F.coalesce(F.col("stop"), F.floor(F.col("start") + F.col("span")), F.col("after")).cast("double").alias("after"),
             F.when(F.col("stop").isNull(), F.col("limit")).otherwise(gap / 2).alias("limit"),
-            F.when(F.col("stop").isNull(), F.col("span") * GROWTH).otherwise(F.col("span")).alias("span"),
-        ))
+            F.when(F.col("stop").isNull(), F.col("span") * GROWTH).otherwise(F.col("span")).alias("span"))
+        state, size = store(moved, ["source"])
 
 
 def pareto_sample(

@@ -111,6 +111,20 @@ def test_gaps_are_filled_as_a_plain_walk_fills_them(spark, span):
     assert {r.source: r.gap for r in rest.collect()} == left
 
 
+def test_a_round_takes_few_jobs(spark):
+    """Every job leaves its plans with the driver, whose memory bounds how many rounds a pipeline can take."""
+    words = [1000] + [50, 30, 10, 5, 3, 2, 1] * 10
+    rows = [("a", False, "a", float(i), i, 0, w, sum(words[: i + 1])) for i, w in enumerate(words)]
+    listed = spark.createDataFrame(
+        rows, "source string, none boolean, key string, rank double, doc_id long, text_hash long, words long, cum_words long").localCheckpoint()
+    spark.sparkContext.setJobGroup("rounds", "rounds")
+    got, _ = mixing.fill_gaps(listed, spark.createDataFrame([("a", 99.0, 1000)], "source string, gap double, after long"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("rounds")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.doc_id for r in got.collect()} == plain_fill(words, 99.0)[0]
+    assert len(jobs) <= 20
+
+
 def test_weights_shift_the_sample(spark):
     from pyspark.sql import functions as F
 
