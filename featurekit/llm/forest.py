@@ -27,6 +27,12 @@ class Forest:
         return total / max(1, len(self.trees))
 
 
+def grow_one(x: np.ndarray, y: np.ndarray, number: int, depth: int = 9, leaf: int = 3, cuts: int = 24, seed: int = 5) -> tuple[np.ndarray, ...]:
+    """Tree ``number`` of a forest whose trees have rows of their own."""
+    rng = np.random.default_rng([seed, number])
+    return _tree(x, y, rng.integers(0, len(x), len(x)), depth, leaf, cuts, rng)
+
+
 def grow(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 9, leaf: int = 3, cuts: int = 24, seed: int = 5) -> Forest:
     rng = np.random.default_rng(seed)
     return Forest(tuple(_tree(x, y, rng.integers(0, len(x), len(x)), depth, leaf, cuts, rng) for _ in range(trees)))
