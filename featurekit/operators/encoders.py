@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -11,10 +12,14 @@ from pyspark.sql import types as T
 
 from featurekit.functions.text import as_text, joined_text
 from featurekit.operators.groups import key_statistics, known_keys
-from featurekit.operators.lookup import LIMIT, WEIGHT, Size, attach, size_columns
+from featurekit.operators.lookup import LIMIT, WEIGHT, BroadcastLimit, Size, attach, size_columns
 from featurekit.operators.ordering import dense_codes, ordinals
 from featurekit.session import materialize_by
 
+# A dictionary within these bounds becomes a constant of the plan, so that one projection looks up all such columns; a join for
+# each of them would copy the whole row every time. A look-up reads the values one by one, so there must be few.
+INLINE = BroadcastLimit(200, 64 * 1024)
+
 
 def _plain_text(column: str, data_type: T.DataType) -> Column:
     """Text that identifies a value; adding zero turns -0.0 into 0.0."""
@@ -53,20 +58,29 @@ def count_encode(
     """Add ``{column}{suffix}``: the number of rows with the same value (per ``within`` if given).
 
     Nulls are counted as one value, or stay null when ``nulls`` is false. One pass counts all columns; each
-    column's dictionary is then measured and broadcast if small.
+    column's dictionary is then measured, and written into the plan or broadcast if small.
     """
-    within = list(within)
+    within, kinds = list(within), {f.name: f.dataType for f in df.schema.fields}
     counts = value_table(df, columns, within)
     if not nulls:
         counts = counts.where(F.col("value").isNotNull())
     parts = _by_column(counts.withColumnRenamed("n", WEIGHT), within)
-    for column in parts.small_first(columns):
+    few = {} if within else parts.constants(columns, WEIGHT)
+    counted = {c: F.expr(_plain_expression(c, kinds[c])) for c in few}
+    rows = df.select("*", *[_found(few[c], text).alias(f"{c}{suffix}") for c, text in counted.items()])
+    for column in parts.small_first([c for c in columns if c not in few]):
         dictionary = parts.part(column).select(
-            *within, F.col("value").cast(df.schema[column].dataType).alias(column),
-            F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
+            *within, F.col("value").cast(kinds[column]).alias(column), F.col(WEIGHT).alias(f"{column}{suffix}"), WEIGHT,
         )
-        df = attach(df, dictionary, [*within, column], size=parts.size(column))
-    return df
+        rows = attach(rows, dictionary, [*within, column], size=parts.size(column))
+    return rows.select(*df.columns, *[f"{c}{suffix}" for c in columns])
+
+
+def _found(constant: Mapping[str | None, int], text: Column) -> Column:
+    """The number that a constant dictionary holds for a text; null when it holds none."""
+    known = F.lit(json.dumps({value: number for value, number in constant.items() if value is not None}))
+    found = F.element_at(F.from_json(known, "map<string,bigint>"), text)
+    return F.when(text.isNull(), F.lit(constant[None])).otherwise(found) if None in constant else found
 
 
 @dataclass
@@ -83,6 +97,13 @@ class _Parts:
         row = self.rows.get(column)
         return Size(row["rows"], row["bytes"], row["null_keys"], row["weight"]) if row else Size(0, 0, 0)
 
+    def constants(self, columns: Iterable[str], number: str) -> dict[str, dict[str | None, int]]:
+        """Value and ``number`` of every part within :data:`INLINE`; parts with malformed text, which Python cannot hold, are left out."""
+        few: dict[str, dict[str | None, int]] = {c: {} for c in columns if self.size(c).fits(INLINE)}
+        for row in self.stored.where(F.col("column").isin(list(few))).select("column", "value", number).collect():
+            few[row["column"]][row["value"]] = row[number]
+        return {c: values for c, values in few.items() if not any("\ufffd" in (v or "") for v in values)}
+
     def small_first(self, columns: Iterable[str]) -> list[str]:
         """Large dictionaries shuffle the rows, which are narrower once the other columns are encoded."""
         return sorted(columns, key=lambda c: not self.size(c).fits(LIMIT))
@@ -116,8 +137,10 @@ def _text_codes(df: DataFrame, texts: Mapping[str, Column]) -> DataFrame:
     counted = value_table(read, list(texts)).where(F.col("value").isNotNull()).withColumnRenamed("n", WEIGHT)
     # One order over all columns: a code is the position of the value less that of the column's first value.
     parts = _by_column(ordinals(counted, ["column", "value"], name="position"))
-    rows = df
-    for name in parts.small_first(texts):
+    few = parts.constants(texts, "position")
+    coded = {n: {value: at - parts.rows[n]["first"] for value, at in values.items()} for n, values in few.items()}
+    rows = df.select("*", *[_found(codes, texts[n]).alias(n) for n, codes in coded.items()])
+    for name in parts.small_first([n for n in texts if n not in coded]):
         first = parts.rows[name]["first"] if name in parts.rows else 0
         code = (F.col("position") - F.lit(first)).alias(name)
         dictionary = parts.part(name).select(F.col("value").alias("__text"), code, WEIGHT)
@@ -152,11 +175,16 @@ def group_map(df: DataFrame, column: str, mapping: Mapping[str, str], name: str)
     return attach(df, table, column, size=Size(len(mapping), width, 0))
 
 
-def null_rare(df: DataFrame, column: str, fit: Column, above: int) -> DataFrame:
-    """Keep a value only if more than ``above`` rows of ``fit`` carry it; every other value becomes null."""
-    frequent = known_keys(df.where(fit), [column]).groupBy(column).agg(F.count(F.lit(1)).alias(WEIGHT))
-    frequent = frequent.where(F.col(WEIGHT) > above).select(column, F.lit(True).alias("__keep"), WEIGHT)
-    return attach(df, frequent, column).withColumn(column, F.when(F.col("__keep"), F.col(column))).drop("__keep")
+def null_rare(df: DataFrame, column: str, fit: Column, above: int, count: str | None = None) -> DataFrame:
+    """Keep a value only if more than ``above`` rows of ``fit`` carry it; every other value becomes null.
+
+    ``count`` names a column for the number of all rows with the value, null where it was not kept; it costs no second join.
+    """
+    carried = known_keys(df, [column]).groupBy(column).agg(F.count(F.lit(1)).alias(WEIGHT), F.count_if(fit).alias("__fit"))
+    frequent = carried.where(F.col("__fit") > above).select(column, F.col(WEIGHT).alias("__n"), WEIGHT)
+    kept = F.when(F.col("__n").isNotNull(), F.col(column)).alias(column)
+    counted = [F.col("__n").alias(count)] if count else []
+    return attach(df, frequent, column).select(*[kept if c == column else c for c in df.columns], *counted)
 
 
 def bucket_rare(df: DataFrame, column: str, below: int, within: Sequence[str] = (), other: str = "Others") -> DataFrame:

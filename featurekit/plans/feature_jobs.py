@@ -255,20 +255,17 @@ def prepared_table(
     return columns.narrow_types(encode_text(rows, missing="nan"))
 
 
-def encode_text(df: DataFrame, missing: str) -> DataFrame:
-    """Replace every text column but the dataset by its code over both datasets."""
-    texts = [c for c in columns.columns_of(df, "text") if c != DATASET]
+def encode_text(df: DataFrame, missing: str, skip: Sequence[str] = ()) -> DataFrame:
+    """Replace every text column but the dataset and those in ``skip`` by its code over both datasets."""
+    texts = [c for c in columns.columns_of(df, "text") if c not in (DATASET, *skip)]
     coded = encoders.label_encode(df, texts, suffix="__code", missing=missing)
     return coded.drop(*texts).withColumnsRenamed({f"{c}__code": c for c in texts})
 
 
 def encoded_table(df: DataFrame) -> DataFrame:
     """Flags and levels as numbers, rare cards removed, frequency and target-mean columns, remaining text as codes."""
+    # Joins come last: the passes that count values read what stands before them.
     rows = encoders.count_encode(df, REPLACED_BY_FREQUENCY, suffix="__n", nulls=False)
-    # The frequency stands for the value here, so values with equal frequencies share one target mean.
-    for column in ("ProductCD", "M4"):
-        rows = encoders.target_mean_encode(rows, [f"{column}__n"], LABEL, _is_train())
-        rows = rows.withColumnRenamed(f"{column}__n__target_mean", f"f000__{column}__target_mean")
     rows = rows.drop(*REPLACED_BY_FREQUENCY).withColumnsRenamed({f"{c}__n": c for c in REPLACED_BY_FREQUENCY})
     # Which columns hold which kind of level.
     levels = {
@@ -282,7 +279,18 @@ def encoded_table(df: DataFrame) -> DataFrame:
         "id_34": text.trailing_number(F.col("id_34")), "id_33_0": width, "id_33_1": height,
         "id_33": F.coalesce(F.nullif(F.col("id_33"), F.lit("0x0")), F.lit("unseen_before_label")),
     })
-    rows = encoders.null_rare(with_row_id(rows, KEY), "card1", _is_train(), above=10)
-    rows = encoders.count_encode(rows, FREQUENCY_ENCODED, suffix="__fq_enc", nulls=False)
-    rows = rows.withColumnsRenamed({f"{c}__fq_enc": f"f000__{c}__fq_enc" for c in FREQUENCY_ENCODED})
-    return encode_text(rows, missing="__NA__")
+    texts = [c for c in columns.columns_of(rows, "text") if c != DATASET]
+    rows = encoders.count_encode(rows, [c for c in FREQUENCY_ENCODED if c != "card1"], suffix="__fq_enc", nulls=False)
+    rows = encode_text(rows, missing="__NA__", skip=["card1"])
+    # The frequency stands for the value here, so values with equal frequencies share one target mean.
+    meant = ["ProductCD", "M4"]
+    rows = encoders.target_mean_encode(rows, meant, LABEL, _is_train())
+    rows = encoders.null_rare(with_row_id(rows, KEY), "card1", _is_train(), above=10, count="card1__fq_enc")
+    rows = encode_text(rows, missing="__NA__")  # cards that are texts
+    rows = rows.withColumnsRenamed({
+        **{f"{c}__target_mean": f"f000__{c}__target_mean" for c in meant}, **{f"{c}__fq_enc": f"f000__{c}__fq_enc" for c in FREQUENCY_ENCODED},
+    })
+    return rows.select(
+        *[c for c in df.columns if c not in REPLACED_BY_FREQUENCY and c not in texts], *REPLACED_BY_FREQUENCY,
+        *[f"f000__{c}__target_mean" for c in meant], "id_33_0", "id_33_1", *[f"f000__{c}__fq_enc" for c in FREQUENCY_ENCODED], *texts,
+    )

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from featurekit.operators import columns, encoders, groups, lags, profile, sets, splits
+from featurekit.operators.lookup import BroadcastLimit
 from featurekit.sources.files import clean_numbers
 
 
@@ -308,3 +309,33 @@ def test_correlations_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(groups, "PAIR_CELLS", 24)
     parts = groups.correlations(df, ["a", "b", "c", "d"]).collect()
     assert [r.r for r in sorted(parts)] == pytest.approx([r.r for r in sorted(whole)])
+
+
+def test_small_dictionaries_need_no_join(spark, monkeypatch):
+    texts = ["a", None, 'say "hi"', "back\\slash", "it's", "Ünï ", "", "nan"]
+    rows = [(i, texts[i % 8], [0.0, -0.0, 1.5, None, float("nan")][i % 5], i % 3, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, s string, x double, k bigint, e string")
+    names = ["s", "x", "k", "e"]
+
+    def made():
+        counted = encoders.count_encode(encoders.count_encode(df, names), names, suffix="_f", nulls=False)
+        return encoders.label_encode(encoders.label_encode(counted, names), ["s", "e"], suffix="_l", missing=None)
+
+    inline = made()
+    assert "Join" not in inline._jdf.queryExecution().executedPlan().toString()
+    # The look-ups are constants that are parsed once, not for every row.
+    assert "from_json" not in inline._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(encoders, "INLINE", BroadcastLimit(0, -1))
+    joined = made()
+    assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+    assert inline.dtypes == joined.dtypes
+    plain = [[tuple(map(str, r)) for r in sorted(t.collect(), key=lambda r: r["id"])] for t in (inline, joined)]
+    assert plain[0] == plain[1]
+
+
+def test_kept_values_come_with_their_count(spark):
+    rows = [(i, c, ds) for i, (c, ds) in enumerate([("a", "train")] * 3 + [("a", "test")] + [("b", "train")] + [("b", "test")] * 4 + [(None, "train")] * 3)]
+    df = spark.createDataFrame(rows, "id int, card string, ds string")
+    kept = encoders.null_rare(df, "card", F.col("ds") == "train", above=1, count="n")
+    assert kept.columns == ["id", "card", "ds", "n"]
+    assert {(r["card"], r["n"]) for r in kept.collect()} == {("a", 4), (None, None)}
