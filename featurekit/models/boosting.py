@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from featurekit.operators.encoders import count_encode
+from featurekit.operators.encoders import count_encode, value_table
 from featurekit.operators.metrics import roc_auc
 from featurekit.operators.sets import stack_all, value_count_grid
 from featurekit.operators.splits import stratified_holdout
@@ -54,14 +54,33 @@ def spark_parameters(params: Mapping[str, float]) -> dict:
 
 def category_levels(df: DataFrame, categories: Sequence[str]) -> dict[str, list[str]]:
     """The levels of category columns, most frequent first; a column of more than ``MAX_LEVELS`` is an error."""
-    levels = {}
-    for c in categories:
-        text = df.select(F.col(c).cast("string").alias(c)).where(F.col(c).isNotNull())
-        found = StringIndexer(inputCol=c, outputCol="__i").fit(text).labels if not text.isEmpty() else []
-        if len(found) > MAX_LEVELS:
-            raise ValueError(f"{c} has {len(found)} levels; count or target encode it first")
-        levels[c] = list(found)
-    return levels
+    counts = _level_counts(df, categories).select(F.lit(0).alias("__i"), "column", "value", "n")
+    return _levels(counts, categories, 1, lambda r: (-r["n"], r["value"]))[0]
+
+
+def fold_levels(df: DataFrame, categories: Sequence[str], k: int, fold: str = "fold") -> list[dict[str, list[str]]]:
+    """:func:`category_levels` of the rows outside of each of ``k`` folds, from one pass over all rows.
+
+    Levels are in text order, so that folds which know the same levels have the same vectors.
+    """
+    if not categories:
+        return [{} for _ in range(k)]
+    outside = F.explode(F.array_remove(F.sequence(F.lit(0), F.lit(k - 1)), F.col("__fold"))).alias("__i")
+    counts = _level_counts(df.withColumnRenamed(fold, "__fold"), categories, ["__fold"]).where(F.col("__fold").isNotNull())
+    return _levels(counts.select(outside, "column", "value", "n"), categories, k, lambda r: r["value"])
+
+
+def _level_counts(df: DataFrame, categories: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    texts = df.select(*within, *[F.col(c).cast("string").alias(c) for c in categories])
+    return value_table(texts, categories, within).where(F.col("value").isNotNull())
+
+
+def _levels(counts: DataFrame, categories: Sequence[str], k: int, order: Callable[[Row], object]) -> list[dict[str, list[str]]]:
+    stored = materialize(counts.groupBy("__i", "column", "value").agg(F.sum("n").alias("n")))
+    for row in stored.groupBy("__i", "column").count().where(F.col("count") > MAX_LEVELS).collect():
+        raise ValueError(f"{row['column']} has {row['count']} levels; count or target encode it first")
+    found = sorted(stored.collect(), key=order)
+    return [{c: [r["value"] for r in found if (r["__i"], r["column"]) == (i, c)] for c in categories} for i in range(k)]
 
 
 def assemble(df: DataFrame, features: Sequence[str], levels: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
@@ -139,17 +158,27 @@ def fit(
     With ``valid``, training ends in the round after which the loss there no longer falls (by Spark ML's
     ``validationTol``), and the booster keeps the rounds up to its lowest loss.
     """
-    levels = category_levels(df, categories)
-    rows = df.where(F.col(label).isNotNull()).select(*features, F.col(label).cast("double").alias("__y"), F.lit(False).alias("__valid"))
-    settings = dict(params)
+    levels = category_levels(df, categories) if categories else {}
+    rows = _vectors(df, features, label, levels).withColumn("__valid", F.lit(False))
     if valid is not None:
-        check = valid.where(F.col(label).isNotNull())
-        rows = rows.union(check.select(*features, F.col(label).cast("double"), F.lit(True)))
-        settings["validationIndicatorCol"] = "__valid"
+        rows = rows.union(_vectors(valid, features, label, levels).withColumn("__valid", F.lit(True)))
+    return _trained(materialize(rows), features, params, fold, levels, valid is not None)
+
+
+def _vectors(df: DataFrame, features: Sequence[str], label: str, levels: Mapping[str, Sequence[str]], *more: str) -> DataFrame:
+    """Label ``__y`` and feature vector of the labelled rows, and the columns ``more``."""
+    rows = df.where(F.col(label).isNotNull()).select(*dict.fromkeys([*features, *more]), F.col(label).cast("double").alias("__y"))
+    return assemble(rows, features, levels).select(*more, "__y", "__features")
+
+
+def _trained(
+    rows: DataFrame, features: Sequence[str], params: Mapping[str, object], fold: int, levels: dict[str, list[str]], early: bool
+) -> FoldModel:
+    """A booster of stored vectors; with ``early``, those marked ``__valid`` only end the training."""
+    settings = {**params, "validationIndicatorCol": "__valid"} if early else dict(params)
     if levels:
         settings["maxBins"] = max(settings.get("maxBins", 32), 2 + max(map(len, levels.values())))
-    stored = materialize(assemble(rows, features, levels).select("__y", "__valid", "__features"))
-    model = GBTClassifier(featuresCol="__features", labelCol="__y", **settings).fit(stored)
+    model = GBTClassifier(featuresCol="__features", labelCol="__y", **settings).fit(rows)
     return FoldModel(model, list(features), model.getNumTrees, fold, levels)
 
 
@@ -161,14 +190,50 @@ def checkpoints(rounds: int, most: int = 8) -> list[int]:
 
 def auc_by_round(model: FoldModel, df: DataFrame, label: str, at: Sequence[int] | None = None) -> DataFrame:
     """``round, n_pos, n_neg, auc`` of the ensemble cut after the rounds ``at`` (:func:`checkpoints` by default)."""
+    return _auc_of_vectors(model, assemble(df, model.features, model.levels), label, at)
+
+
+def _auc_of_vectors(model: FoldModel, rows: DataFrame, label: str, at: Sequence[int] | None) -> DataFrame:
     at = [r for r in (at or checkpoints(model.rounds)) if r <= model.rounds]
-    rows = assemble(df, model.features, model.levels)
     for r in at:
         rows = model.first_rounds(r).probability(rows, f"__at{r}")
     staged = F.explode(F.array(*[F.struct(F.lit(r).alias("round"), F.col(f"__at{r}").alias("score")) for r in at])).alias("x")
     return roc_auc(rows.select(F.col(label).alias("y"), staged).select("y", "x.*"), "y", "score", ["round"])
 
 
+def _each_fold(
+    df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], k: int,
+    fold: str, valid: DataFrame | None, early: bool, categories: Sequence[str],
+) -> Iterator[tuple[FoldModel, DataFrame]]:
+    """The model of every left-out fold and the stored vectors it is checked on.
+
+    Vectors are made and stored once for all folds whose categories have the same levels.
+    """
+    rows = df.where(F.col(fold).isNotNull()).select(*dict.fromkeys([*features, label, fold]))
+    rows = rows if not categories else materialize(rows)
+    shared, stored, hold_out = None, rows, None
+    for i, levels in enumerate(fold_levels(rows, categories, k, fold)):
+        if shared != levels:
+            stored, shared = materialize(_vectors(rows, features, label, levels, fold)), levels
+            hold_out = materialize(_vectors(valid, features, label, levels)) if valid is not None else None
+        left_out = F.col(fold) == i
+        if hold_out is not None and early:
+            training = stored.where(~left_out).select("__y", "__features", F.lit(False).alias("__valid"))
+            training = training.union(hold_out.withColumn("__valid", F.lit(True)))
+        else:
+            training = (stored if early else stored.where(~left_out)).select("__y", "__features", left_out.alias("__valid"))
+        check = hold_out if hold_out is not None else stored.where(left_out)
+        yield _trained(training, features, params, i, levels, early), check
+
+
+def train_folds(
+    df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], k: int,
+    fold: str = "fold", valid: DataFrame | None = None, early: bool = True, categories: Sequence[str] = (),
+) -> list[FoldModel]:
+    """The models of :func:`fit_folds`, without their AUC by round."""
+    return [model for model, _ in _each_fold(df, features, label, params, k, fold, valid, early, categories)]
+
+
 def fit_folds(
     df: DataFrame, features: Sequence[str], label: str, params: Mapping[str, object], k: int,
     fold: str = "fold", valid: DataFrame | None = None, early: bool = True, categories: Sequence[str] = (),
@@ -177,18 +242,14 @@ def fit_folds(
     """Train one model per left-out fold.
 
     With ``early`` each one stops by its loss on ``valid`` (a fixed hold-out) or, without one, on the left-out fold.
-    Returns the models and ``fold, round, auc`` there at the :func:`checkpoints` of the rounds. The rows are computed
+    Returns the models and ``fold, round, auc`` there at the :func:`checkpoints` of the rounds. The vectors are computed
     once and stored, so no fold repeats the joins and encodings behind ``df``.
     """
-    rows = materialize(df.select(*dict.fromkeys([*features, label, fold])))
-    hold_out = materialize(valid.select(*features, label)) if valid is not None else None
     models, tables = [], []
-    for i in range(k):
-        check = hold_out if hold_out is not None else rows.where(F.col(fold) == i)
-        model = fit(rows.where(F.col(fold) != i), features, label, params, i, check if early else None, categories)
+    for model, check in _each_fold(df, features, label, params, k, fold, valid, early, categories):
         models.append(model)
-        found = auc_by_round(model, check, label, at).select("round", "auc").collect()
-        tables += [(i, r["round"], r["auc"]) for r in found]
+        found = _auc_of_vectors(model, check, "__y", at).select("round", "auc").collect()
+        tables += [(model.fold, r["round"], r["auc"]) for r in found]
     return models, df.sparkSession.createDataFrame(tables, "fold int, round int, auc double")
 
 
@@ -198,20 +259,29 @@ def cv_summary(rounds: DataFrame) -> DataFrame:
         F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"), F.count("auc").alias("folds"))
 
 
+def _scored(models: Sequence[FoldModel], df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add the scores of all models in one pass over the rows."""
+    rows, shared = df, None
+    for column, m in zip(names, models):
+        if shared != (m.features, m.levels):  # models of one feature set share the vector
+            rows, shared = assemble(rows.drop("__features"), m.features, m.levels), (m.features, m.levels)
+        rows = m.probability(rows, column)
+    return rows
+
+
 def out_of_fold(models: Sequence[FoldModel], df: DataFrame, fold: str = "fold") -> DataFrame:
-    """Score every row with the model that did not see it."""
-    return stack_all([m.score(df.where(F.col(fold) == m.fold)) for m in models])
+    """Score every row with the model that did not see it, in one pass and without a shuffle."""
+    names = [f"__p{i}" for i in range(len(models))]
+    rows = _scored(models, df.where(F.col(fold).isin([m.fold for m in models])), names)
+    own = F.coalesce(*[F.when(F.col(fold) == m.fold, F.col(n)) for n, m in zip(names, models)])
+    return rows.select(*df.columns, own.alias("score"))
 
 
 def ensemble_mean(models: Sequence[FoldModel], df: DataFrame, name: str = "score") -> DataFrame:
     """Score rows with the mean of all fold models, in one pass and without a shuffle."""
-    rows, shared = df, None
     names = [f"__p{i}" for i in range(len(models))]
-    for column, m in zip(names, models):
-        if shared != m.levels:  # models of one feature set share the vector
-            rows, shared = assemble(rows.drop("__features"), m.features, m.levels), m.levels
-        rows = m.probability(rows, column)
-    return rows.select(*df.columns, (reduce(add, map(F.col, names)) / len(models)).alias(name))
+    mean = reduce(add, map(F.col, names)) / len(models)
+    return _scored(models, df, names).select(*df.columns, mean.alias(name))
 
 
 def importances(models: Sequence[FoldModel], df: DataFrame) -> DataFrame:

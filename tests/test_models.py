@@ -120,3 +120,44 @@ def test_stored_model_scores_alike(spark, data, trained):
     loaded = boosting.FoldModel.load(spark, path, 1)
     assert (loaded.rounds, loaded.features, loaded.fold) == (3, ["x", "z"], 1)
     assert {r["id"]: r["score"] for r in loaded.score(data).collect()} == {r["id"]: r["score"] for r in cut.score(data).collect()}
+
+
+def _counting(monkeypatch):
+    calls, store = [], boosting.materialize
+    monkeypatch.setattr(boosting, "materialize", lambda df: calls.append(df.columns) or store(df))
+    return calls
+
+
+def test_folds_share_stored_vectors(data, trained, monkeypatch):
+    calls = _counting(monkeypatch)
+    models = boosting.train_folds(data, ["x", "z"], "y", PARAMS, 2)
+    assert calls == [["fold", "__y", "__features"]]
+    assert [m.fold for m in models] == [0, 1]
+    calls.clear()
+    held = boosting.train_folds(data.where("id % 3 != 0"), ["x", "z"], "y", PARAMS, 2, valid=data.where("id % 3 = 0"))
+    assert calls == [["fold", "__y", "__features"], ["__y", "__features"]]
+    assert all(1 <= m.rounds <= 4 for m in held)
+
+
+def test_fold_levels_are_those_outside_of_the_fold(data):
+    letters = data.withColumn("c", F.when(F.col("z").isNotNull(), F.concat(F.lit("k"), "z"))).withColumn(
+        "d", F.when(F.col("fold") == 1, "only here").otherwise("common"))
+    found = boosting.fold_levels(letters, ["c", "d"], 2)
+    for fold in (0, 1):
+        alone = boosting.category_levels(letters.where(F.col("fold") != fold), ["c", "d"])
+        assert found[fold] == {c: sorted(levels) for c, levels in alone.items()}
+    assert [levels["d"] for levels in found] == [["only here"], ["common"]]
+    assert boosting.category_levels(letters.selectExpr("CASE WHEN id % 3 = 0 THEN 'a' WHEN id > 0 THEN 'b' END AS c"), ["c"])["c"] == ["b", "a"]
+    assert boosting.category_levels(letters.where("id < 0"), ["c"]) == {"c": []}
+    models = boosting.train_folds(letters, ["c", "d", "x"], "y", PARAMS, 2, categories=["c", "d"])
+    assert [m.levels for m in models] == found
+    assert boosting.out_of_fold(models, letters).where(boosting.in_range()).count() == 600
+
+
+def test_out_of_fold_reads_the_rows_once(data, trained):
+    models, _ = trained
+    scored = boosting.out_of_fold(models, data)
+    assert "Union" not in scored._jdf.queryExecution().optimizedPlan().toString()
+    own = {r["id"]: r["score"] for m in models for r in m.score(data.where(F.col("fold") == m.fold)).collect()}
+    assert {r["id"]: r["score"] for r in scored.collect()} == own
+    assert boosting.out_of_fold(models[:1], data).count() == data.where("fold = 0").count()
