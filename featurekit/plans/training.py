@@ -13,7 +13,7 @@ from featurekit.models import boosting
 from featurekit.operators import metrics, splits
 from featurekit.plans.registry import TX, query, rounded, table, transactions
 from featurekit.plans.splitting import _hash
-from featurekit.session import scratch_path
+from featurekit.session import materialize, scratch_path
 
 FEATURES = ["o_totalprice", "c_acctbal", "card", "c_nationkey", "period"]
 
@@ -39,8 +39,9 @@ def _test(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gbt_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Out-of-fold scores and the labels behind their AUC; ``scored``: all are probabilities and the AUC exists."""
     folds = _folds(spark, sf_dir)
-    models, _ = boosting.fit_folds(folds, FEATURES, "y", PARAMS, FOLDS)
-    scores = boosting.out_of_fold(models, folds)
+    models = boosting.train_folds(folds, FEATURES, "y", PARAMS, FOLDS)
+    # The AUC and the check of the range read the same stored scores.
+    scores = materialize(boosting.out_of_fold(models, folds).select("fold", "y", "score"))
     ranges = scores.groupBy("fold").agg(F.every(boosting.in_range()).alias("ok"))
     aucs = metrics.roc_auc(scores, "y", "score", ["fold"]).join(ranges, "fold")
     return aucs.select("fold", "n_pos", "n_neg", (F.col("ok") & boosting.in_range("auc")).alias("scored"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from featurekit.models import boosting
 from featurekit.operators import metrics, splits
+from featurekit.plans.registry import QUERIES
 from featurekit.session import scratch_path
 
 PARAMS = {"maxIter": 4, "maxDepth": 3, "stepSize": 0.3, "seed": 1}
@@ -161,3 +162,13 @@ def test_out_of_fold_reads_the_rows_once(data, trained):
     own = {r["id"]: r["score"] for m in models for r in m.score(data.where(F.col("fold") == m.fold)).collect()}
     assert {r["id"]: r["score"] for r in scored.collect()} == own
     assert boosting.out_of_fold(models[:1], data).count() == data.where("fold = 0").count()
+
+
+@pytest.mark.parametrize("name", ["gbt_fold_scores"])
+def test_auc_by_round_is_made_only_where_it_is_returned(spark, sf_dir, monkeypatch, name):
+    def unwanted(*args):
+        raise AssertionError("an AUC by round that the query does not return")
+
+    monkeypatch.setattr(boosting, "roc_auc", unwanted)
+    rows = QUERIES[name](spark, sf_dir).collect()
+    assert rows and all(r["scored"] for r in rows)
