@@ -60,7 +60,7 @@ def gbt_cv_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT unnest({FEATURES}) AS feature, {FOLDS}::BIGINT AS folds, TRUE AS shares")
 def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of every feature in every fold; ``shares``: gains are shares and splits are counted."""
-    models, _ = boosting.fit_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
+    models = boosting.train_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
     found = boosting.importances(models, table(spark, sf_dir, "orders"))
     sums = found.groupBy("fold").agg((F.abs(F.sum("gain") - 1) < 1e-9).alias("whole"))
     checked = found.join(sums, "fold").withColumn("ok", F.col("whole") & boosting.in_range("gain") & (F.col("splits") >= 0))
@@ -91,7 +91,7 @@ def gbt_single_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {TX} SELECT o_orderkey, TRUE AS is_mean FROM tx WHERE dataset = 'test'")
 def fold_ensemble_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows scored with the mean of all fold models; ``is_mean``: it equals the mean of the single scores."""
-    models, _ = boosting.fit_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
+    models = boosting.train_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
     rows = boosting.ensemble_mean(models, _test(spark, sf_dir))
     for m in models:
         rows = m.score(rows, f"s{m.fold}")
@@ -105,7 +105,7 @@ def holdout_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, customer=True)
     roles = tx.join(splits.holdout_with_kfold(tx, "o_orderkey", "period", 60, FOLDS), "o_orderkey")
     train, valid = roles.where(F.col("role") == "train"), roles.where(F.col("role") == "valid")
-    models, _ = boosting.fit_folds(train, FEATURES, "y", PARAMS, FOLDS, valid=valid)
+    models = boosting.train_folds(train, FEATURES, "y", PARAMS, FOLDS, valid=valid)
     found = metrics.roc_auc(boosting.ensemble_mean(models, valid), "y", "score")
     return found.select("n_pos", "n_neg", (boosting.in_range("auc") | F.col("auc").isNull()).alias("scored"))
 
@@ -113,7 +113,7 @@ def holdout_fold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {TX} SELECT period, count(*) AS score_count, TRUE AS scored FROM tx WHERE dataset = 'test' GROUP BY period""")
 def period_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored rows per test period; all periods are scored in one pass."""
-    models, _ = boosting.fit_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
+    models = boosting.train_folds(_folds(spark, sf_dir), FEATURES, "y", PARAMS, FOLDS)
     scored = boosting.ensemble_mean(models, _test(spark, sf_dir))
     return scored.groupBy("period").agg(F.count("score").alias("score_count"), F.every(boosting.in_range()).alias("scored"))
 

@@ -164,7 +164,7 @@ def test_out_of_fold_reads_the_rows_once(data, trained):
     assert boosting.out_of_fold(models[:1], data).count() == data.where("fold = 0").count()
 
 
-@pytest.mark.parametrize("name", ["gbt_fold_scores"])
+@pytest.mark.parametrize("name", ["gbt_fold_scores", "period_scoring", "holdout_fold_scores"])
 def test_auc_by_round_is_made_only_where_it_is_returned(spark, sf_dir, monkeypatch, name):
     def unwanted(*args):
         raise AssertionError("an AUC by round that the query does not return")
